@@ -33,4 +33,5 @@ def load_all() -> None:
     # Importing the modules fills the registry.
     from wikisift.plans import (  # noqa: F401
         corpus_jobs,
+        markup_jobs,
     )

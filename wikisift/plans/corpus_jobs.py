@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wikisift.operators import corpus as C
 from wikisift.plans.catalog import register
-from wikisift.session import table
+from wikisift.session import table, text_table
 
 # --- shared oracle fragments (DuckDB) -------------------------------------
 # Paragraph rows: position in the newline split, stripped, non-blank.
@@ -39,7 +39,7 @@ toks AS (
 
 
 def docs(spark, sf_dir):
-    return table(spark, sf_dir, "documents")
+    return text_table(spark, sf_dir, "documents", "doc_id")
 
 
 @register(

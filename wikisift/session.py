@@ -72,3 +72,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
+    """Give CPU-heavy text jobs enough tasks.
+
+    A small file with one row group scans as one partition, so every regex
+    runs on one core.  When the scan has fewer partitions than
+    ``factor x defaultParallelism`` the rows are hash-partitioned by ``key``
+    (a cheap shuffle of a small input); at cluster scale the scan already
+    has far more splits than cores and the frame is returned unchanged.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A text-heavy table, spread over enough tasks (see :func:`spread`)."""
+    return spread(table(spark, sf_dir, name), key)
