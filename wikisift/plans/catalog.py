@@ -34,4 +34,5 @@ def load_all() -> None:
     from wikisift.plans import (  # noqa: F401
         corpus_jobs,
         markup_jobs,
+        lines_jobs,
     )
