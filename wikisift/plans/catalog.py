@@ -35,4 +35,5 @@ def load_all() -> None:
         corpus_jobs,
         markup_jobs,
         lines_jobs,
+        pages_jobs,
     )

@@ -92,3 +92,11 @@ def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
 def text_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A text-heavy table, spread over enough tasks (see :func:`spread`)."""
     return spread(table(spark, sf_dir, name), key)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate files, under the shared checkpoint
+    folder (never a machine-local temporary folder)."""
+    import uuid
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/io-{name}-{uuid.uuid4().hex}"
