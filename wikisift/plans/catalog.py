@@ -36,4 +36,5 @@ def load_all() -> None:
         markup_jobs,
         lines_jobs,
         pages_jobs,
+        template_jobs,
     )
