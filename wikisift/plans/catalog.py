@@ -37,4 +37,5 @@ def load_all() -> None:
         lines_jobs,
         pages_jobs,
         template_jobs,
+        embed_jobs,
     )
