@@ -7,6 +7,7 @@ here only fill in what is unset (local runs and tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,8 +51,8 @@ def ensure_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local runs, tests) is a fresh folder
-    created and registered.
+    A fresh local folder is made only where the session names none and runs in
+    one JVM (``local[...]``, tests); on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     cur = sc.getCheckpointDir()
@@ -59,6 +60,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return cur
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="wikisift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
