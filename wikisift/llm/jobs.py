@@ -60,3 +60,69 @@ def op10_quality_rules(spark, sf_dir):
     from wikisift.llm.quality_rules import quality_rules
 
     return quality_rules(read_table(spark, sf_dir, "documents"))
+
+
+@job
+def op4_license_scan(spark, sf_dir):
+    from wikisift.llm.license_scan import scan_licenses
+
+    return scan_licenses(read_table(spark, sf_dir, "documents")).drop("detections")
+
+
+@job
+def op5_packing(spark, sf_dir):
+    from wikisift.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
+@job
+def op6_secret_scan(spark, sf_dir):
+    from wikisift.llm.secret_scan import scan_secrets
+
+    return scan_secrets(read_table(spark, sf_dir, "documents")).drop("found")
+
+
+@job
+def op7_html_extraction(spark, sf_dir):
+    from wikisift.llm.html_text import extract
+
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
+@job
+def op8_quality_classifier(spark, sf_dir):
+    from wikisift.llm.quality_model import classify
+
+    return classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@job
+def op9_chat_formatting(spark, sf_dir):
+    from wikisift.llm.chat import conversation_digests, format_turns
+
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_digests(format_turns(rows.unionByName(extra)))
+
+
+# The length of an escaped text: every control string becomes two characters.
+_ESCAPED = "length(t) + length(t) - length(replace(t, chr(9243), ''))" + "".join(
+    f" + (2 - {len(s)}) * ((length(t) - length(replace(t, '{s}', ''))) // {len(s)})"
+    for s in ("<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>", "[ROLE]", "[/ROLE]", "[TURN]", "[/TURN]"))
+
+ORACLE["op9_chat_formatting"] = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, {_ESCAPED} + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 28 + length(role) END AS shown FROM c
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,
+       (coalesce(sum(length(t)) FILTER (WHERE role = 'assistant'), 0))::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn NULLS FIRST, role, t) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(shown)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
