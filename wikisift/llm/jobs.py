@@ -30,6 +30,13 @@ def op1_simhash_near_dedup(spark, sf_dir):
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@job
+def op2_benchmark_decontamination(spark, sf_dir):
+    from wikisift.llm.decontaminate import contamination
+
+    return contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @job
 def op3_line_dedup(spark, sf_dir):
     from wikisift.llm.line_dedup import line_dedup
