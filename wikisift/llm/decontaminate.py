@@ -50,12 +50,12 @@ SHARD_POSTINGS = 200_000
 #: Items of one block of the index.
 BLOCK_ITEMS = 2
 
-_FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+_FOLD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
 def words_of(raw: bytes) -> list[bytes]:
-    """Words: runs of ASCII letters (A-Z in lower case), digits and non-ASCII."""
-    return raw.translate(_FOLD).split()
+    """Words: runs of ASCII letters, digits and non-ASCII, in lower case."""
+    return raw.decode().lower().encode().translate(_FOLD).split()
 
 
 @F.arrow_udf(T.ArrayType(T.BinaryType()))

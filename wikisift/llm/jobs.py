@@ -124,7 +124,7 @@ WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), sized AS (
-  SELECT *, {_ESCAPED} + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 28 + length(role) END AS shown FROM c
+  SELECT *, {_ESCAPED} + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 ELSE 26 + length(role) END AS shown FROM c
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn NULLS FIRST, role, t)) AS turns_sha256,

@@ -105,7 +105,7 @@ def grow(x: np.ndarray, y: np.ndarray) -> Forest:
     roots: list[int] = []
     flat = lambda prior: Forest(*(np.array(parts[k], t) for k, t in (("feature", np.int64), ("threshold", np.float32), ("left", np.int64), ("right", np.int64), ("value", float))),
                                 np.array(roots, np.int64), DEPTH, prior)
-    if not 0 < share < 1:
+    if not n or not 0 < share < 1:
         # one class only: a Laplace-smoothed prior
         share = (float(y.sum()) + 1) / (n + 2) if n else 0.5
         parts["feature"], parts["threshold"], parts["left"], parts["right"], parts["value"] = [0], [0.0], [0], [0], [0.0]
