@@ -45,53 +45,56 @@ def test_unescape_and_placeholders(spark):
     assert got == "formula_1 codice_1 formula_2 formula_1"
 
 
-def sequential_compact(text):
-    """Straight sequential model of the default line pass (text mode)."""
-    import re
-
-    out, prev, pending, empty = [], "", False, False
-    for line in text.split("\n"):
-        if not line:
-            continue
-        if re.match(r"(==+)\s*(.*?)\s*\1", line):
-            pending, empty, prev = True, True, "header"
-            continue
-        if line.startswith("++"):
-            t = line[2:-2]
-            if t:
-                out.append(t + ("" if t[-1] in "!?" else "."))
-            continue
-        if line[0] == ":":
-            continue
-        if line[0] in "*#;":
-            prev = "list"
-            continue
-        was_list, prev = prev == "list", "other"
-        if was_list:
-            out.append(line)
-        elif line[0] in "{|" or line[-1] == "}" or (line[0] == "(" and line[-1] == ")") or line.strip(".-") == "":
-            continue
-        elif pending:
-            out.append(line)
-            pending, empty = False, False
-        elif not empty and line[0] != " ":
-            out.append(line)
-    return "\n".join(out)
-
-
-def test_compact_matches_sequential_model(spark):
+LINE_CASES = [
+    ("one\n\ntwo", "one\ntwo"),
+    ("== H ==\nfirst\nsecond", "first\nsecond"),
+    ("== H ==\n pre kept as the first of its section\n pre dropped\nrest", " pre kept as the first of its section\nrest"),
+    (" pre at the top", ""),
+    ("* item\n(after a list)\n(x)", "(after a list)"),
+    ("# a\n: colon lines change nothing\n| cell", "| cell"),
+    ("{| table\n|cell\nend}\n(note)\n---\n.-.\nkept", "kept"),
+    ("++Title++\n++Really?++\n++++", "Title.\nReally?"),
+    ("== A ==\n=== B ===\n* item\nx\n y\n z", "x\n y"),
+    ("", ""),
+]
+
+
+def both_forms(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "page_num long, text string")
+    folded = {r["page_num"]: r["t"] for r in df.select("page_num", L.compact_text("text").alias("t")).collect()}
+    windowed = {r["page_num"]: r["text"] for r in L.reassemble(L.render_lines(L.to_lines(df))).collect()}
+    return [folded[i] for i in range(len(texts))], [windowed.get(i, "") for i in range(len(texts))]
+
+
+def test_compact_cases(spark):
+    folded, windowed = both_forms(spark, [t for t, _ in LINE_CASES])
+    assert folded == windowed == [w for _, w in LINE_CASES]
+
+
+def test_compact_forms_agree_and_are_stable(spark):
     import random
 
     rnd = random.Random(7)
     pool = ["== H ==", "=== S ===", " pre", "text", "* item", "# n", ": ind", "(x)", "---", "{|", "|c", "end}", "++T++", "", "more"]
     pages = ["\n".join(rnd.choice(pool) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
-    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "page_num long, text string")
-    folded = {r["page_num"]: r["t"] for r in df.select("page_num", L.compact_text("text").alias("t")).collect()}
-    windowed = {r["page_num"]: r["text"] for r in L.reassemble(L.render_lines(L.to_lines(df))).collect()}
-    for i, p in enumerate(pages):
-        want = sequential_compact(p)
-        assert folded[i] == want, (p, folded[i], want)
-        assert windowed.get(i, "") == want
+    folded, windowed = both_forms(spark, pages)
+    assert folded == windowed
+    # every kept line comes from the page, in order; text without structure stays
+    for page, out in zip(pages, folded):
+        lines = iter(page.split("\n"))
+        assert all(any(x == y or y == f"++{x[:-1]}++" for y in lines) for x in out.split("\n") if x)
+    assert both_forms(spark, ["text\nmore\ntext"])[0] == ["text\nmore\ntext"]
+
+
+def test_compact_is_linear(spark):
+    import time
+
+    page = "\n".join(f"line {k} of a long page" for k in range(40_000))
+    df = spark.createDataFrame([(1, page)], "page_num long, text string").select(F.length(L.compact_text("text")).alias("n"))
+    df.collect()
+    t0 = time.time()
+    assert df.collect()[0]["n"] == len(page)
+    assert time.time() - t0 < 10
 
 
 def test_parser_functions(spark):

@@ -129,33 +129,41 @@ def reassemble(lines: DataFrame, key: str = "page_num") -> DataFrame:
     )
 
 
-def compact_text(text) -> Column:
-    """R6 without a shuffle: the same state machine folded over the page's
-    line array.  State: kept lines, previous structural kind, number of
-    headers seen, and whether the current section already has content."""
-    lines = F.filter(F.split(col_of(text), "\n"), lambda x: x != "")
-    init = F.struct(
-        F.array().cast("array<string>").alias("out"),
-        F.lit("").alias("prev"),
-        F.lit(False).alias("pending"),
+# What a line is to the line pass, and whether it is content, as one digit.
+_HEADER, _TITLE, _LIST, _COLON, _RESIDUE, _CONTENT, _PRE = range(7)
+
+
+def _line_code(line: Column) -> Column:
+    kind = line_kind(line)
+    return (
+        F.when(kind == "header", _HEADER).when(kind == "title", _TITLE).when(kind == "list", _LIST).when(kind == "colon", _COLON)
+        .when(is_residue(line), _RESIDUE).when(F.startswith(line, F.lit(" ")), _PRE).otherwise(_CONTENT)
     )
 
-    def step(acc, line):
-        kind = line_kind(line)
-        after_list = acc["prev"] == "list"
-        residue = is_residue(line)
-        content = (kind == "other") & ~after_list & ~residue
-        title_body = F.substring(line, 3, F.greatest(F.length(line) - 4, F.lit(0)))
-        keep = (
-            ((kind == "title") & (title_body != ""))
-            | ((kind == "other") & after_list)
-            | (content & acc["pending"])
-            | (content & ~F.startswith(line, F.lit(" ")))
-        )
-        val = F.when(kind == "title", _title_dot(title_body)).otherwise(line)
-        out = F.when(keep, F.concat(acc["out"], F.array(val))).otherwise(acc["out"])
-        prev = F.when(kind.isin("header", "list", "other"), kind).otherwise(acc["prev"])
-        pending = F.when(kind == "header", F.lit(True)).when(content, F.lit(False)).otherwise(acc["pending"])
-        return F.struct(out.alias("out"), prev.alias("prev"), pending.alias("pending"))
-
-    return F.array_join(F.aggregate(lines, init, step, lambda acc: acc["out"]), "\n")
+
+def kept_flags(codes: Column) -> Column:
+    """W2, W4, P7, P8 over a page's line codes: a string of 0 and 1.
+
+    The codes are one digit a line, so the rules are patterns over a string:
+    colon and title lines change no state, a list or header lasts until the
+    next line that does.  Regular expressions mark the kept places; the work is
+    linear in the lines.
+    """
+    silent = f"[{_TITLE}{_COLON}]*"
+    other = f"[{_RESIDUE}{_CONTENT}{_PRE}]"
+    # the ordinary line after a list is kept, whatever it holds ...
+    s = F.regexp_replace(codes, f"({_LIST}{silent}){other}", "$1L")
+    # ... and the first content line of a section, though it starts with a space
+    s = F.regexp_replace(s, f"({_HEADER}[^{_HEADER}{_CONTENT}{_PRE}]*){_PRE}", "$1F")
+    return F.translate(s, f"{_CONTENT}LF{_TITLE}{_HEADER}{_LIST}{_COLON}{_RESIDUE}{_PRE}", "111100000")
+
+
+def compact_text(text) -> Column:
+    """R6 without a shuffle: the page's lines become codes, patterns over the
+    codes say which stay, one filter takes them."""
+    lines = F.filter(F.split(col_of(text), "\n"), lambda x: x != "")
+    flags = F.split(kept_flags(F.array_join(F.transform(lines, lambda x: _line_code(x).cast("string")), "")), "")
+    pairs = F.arrays_zip(lines.alias("line"), flags.alias("keep"))
+    kept = F.filter(pairs, lambda p: (p["keep"] == "1") & p["line"].isNotNull())
+    shown = F.transform(kept, lambda p: F.when(line_kind(p["line"]) == "title", page_title_line(p["line"])).otherwise(p["line"]))
+    return F.array_join(F.filter(shown, lambda x: x != ""), "\n")
