@@ -137,6 +137,8 @@ def test_expand_templates(spark):
     )
     out = OT.expand_templates(pages, cat).first()
     assert out["text"] == "a Hello Qv b  y P"
+    nulls = spark.createDataFrame([(1, "P", None), (2, "P", "plain"), (3, "P", "{{Hi}}")], "page_num long, title string, text string")
+    assert sorted((r["page_num"], r["text"]) for r in OT.expand_templates(nulls, cat).collect()) == [(1, None), (2, "plain"), (3, "Hello x")]
 
 
 def test_lexicon_enrich_brute_force(spark):

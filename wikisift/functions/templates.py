@@ -12,21 +12,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from wikisift.functions.markup import drop_comments, unescape_entities
-from wikisift.functions.text import col_of, lcfirst, pystrip, ucfirst
+from wikisift.functions.text import col_of, lcfirst, lower_each, pystrip, ucfirst, upper_each
 
-# Parser functions the reference accepts but evaluates to ''.
-UNSUPPORTED_FUNCTIONS = ["#ifexpr", "#ifexist", "#rel2abs", "# language", "#time", "#timel", "#titleparts", "#expr"]
 SUBST_RE = r"(?i)^(?:subst:|safesubst:)"
-LINK_PIPE = "\u0005"
-
-# Innermost call / parameter reference (no braces inside).
-CALL_RE = r"\{\{([^{}]*)\}\}"
-ARG_RE = r"\{\{\{([^{}|]*)(\|[^{}]*)?\}\}\}"
-
 
 # ---------------------------------------------------------------- titles --
 def normalize_namespace(prefix) -> Column:
-    return ucfirst(F.lower(col_of(prefix)))
+    """A namespace's first letter is upper case, the rest as it stands."""
+    return ucfirst(col_of(prefix))
 
 
 def normalize_title(title, known_namespaces: list[str]) -> Column:
@@ -79,7 +72,8 @@ def onlyinclude_concat(text) -> Column:
 
 def redirect_target(text) -> Column:
     """``#REDIRECT [[target]]`` -> target ('' when not a redirect)."""
-    return F.regexp_extract(col_of(text), r"(?is)^#REDIRECT.*?\[\[([^\]]*)\]\]", 1)
+    first = F.substring_index(col_of(text), "\n", 1)
+    return F.regexp_extract(first, r"(?i)^#REDIRECT.*?\[\[([^\]]*)\]\]", 1)
 
 
 def strip_subst(title) -> Column:
@@ -92,25 +86,6 @@ def is_subst(title) -> Column:
 
 
 # ------------------------------------------------------------ parameters --
-def split_parts(inner) -> Column:
-    """T1 helper: split a call body at top-level '|' (pipes inside [[...]]
-    links are protected)."""
-    marked = _protect_link_pipes(col_of(inner))
-    return F.transform(F.split(marked, r"\|", -1), lambda p: F.replace(p, F.lit(LINK_PIPE), F.lit("|")))
-
-
-def _protect_link_pipes(c: Column) -> Column:
-    links = F.regexp_extract_all(c, F.lit(r"\[\[[^\]]*\]\]"), F.lit(0))
-    parts = F.split(c, r"\[\[[^\]]*\]\]", -1)
-    return F.concat(
-        F.element_at(parts, 1),
-        F.array_join(
-            F.transform(links, lambda m, i: F.concat(F.replace(m, F.lit("|"), F.lit(LINK_PIPE)), F.element_at(parts, i + 2))),
-            "",
-        ),
-    )
-
-
 def call_params_map(params) -> Column:
     """Parameter list -> map.  ``name=value`` (name without spaces or '=')
     is named; others are numbered from 1; values are trimmed unless they
@@ -132,34 +107,6 @@ def call_params_map(params) -> Column:
     ).otherwise(F.create_map().cast("map<string,string>"))
 
 
-def substitute_args_once(body, params) -> Column:
-    """T2, one level: innermost ``{{{name|default}}}`` -> the passed value,
-    else the default, else ''."""
-    b = col_of(body)
-    pm = col_of(params)
-    matches = F.regexp_extract_all(b, F.lit(ARG_RE), F.lit(0))
-    parts = F.split(b, ARG_RE, -1)
-
-    def value(m):
-        name = pystrip(F.regexp_extract(m, ARG_RE, 1))
-        dflt = F.regexp_extract(m, ARG_RE, 2)
-        return F.coalesce(F.element_at(pm, name), F.when(dflt != "", F.substring(dflt, 2, 1 << 30)), F.lit(""))
-
-    stitched = F.concat(
-        F.element_at(parts, 1),
-        F.array_join(F.transform(matches, lambda m, i: F.concat(value(m), F.element_at(parts, i + 2))), ""),
-    )
-    return F.when(F.instr(b, "{{{") > 0, stitched).otherwise(b)
-
-
-def substitute_args(df, body: str, params: str, rounds: int = 10):
-    """T2 over a DataFrame: innermost references first, ``rounds`` levels
-    (the reference's parameter depth limit is 10), one projection each."""
-    for _ in range(rounds):
-        df = df.withColumn(body, substitute_args_once(body, params))
-    return df
-
-
 # --------------------------------------------------------- parser functions --
 def _arg(args: Column, i: int) -> Column:
     """1-based argument, null when absent."""
@@ -241,7 +188,7 @@ def pf_switch(args) -> Column:
 def pf_case(name: str, args) -> Column:
     """lc, uc, lcfirst, ucfirst of the first argument."""
     s = F.coalesce(_arg(col_of(args), 1), F.lit(""))
-    return {"lc": F.lower(s), "uc": F.upper(s), "lcfirst": lcfirst(s), "ucfirst": ucfirst(s)}[name]
+    return {"lc": lower_each(s), "uc": upper_each(s), "lcfirst": lcfirst(s), "ucfirst": ucfirst(s)}[name]
 
 
 def pf_urlencode(args) -> Column:
@@ -252,10 +199,11 @@ def pf_urlencode(args) -> Column:
 
 
 def pf_int(args) -> Column:
-    """integer text; failure gives ''."""
+    """integer text of any size; failure gives ''."""
     s = pystrip(F.coalesce(_arg(col_of(args), 1), F.lit("")))
-    v = F.when(s.rlike(r"^[+-]?[0-9]{1,18}$"), s.try_cast("bigint"))
-    return F.coalesce(v.cast("string"), F.lit(""))
+    digits = F.regexp_replace(s, r"^[+-]?0*(?=[0-9])", "")
+    minus = F.when(F.startswith(s, F.lit("-")) & (digits != "0"), F.lit("-")).otherwise(F.lit(""))
+    return F.when(s.rlike(r"^[+-]?[0-9]+$"), F.concat(minus, digits)).otherwise(F.lit(""))
 
 
 def pf_invoke_convert(args) -> Column:

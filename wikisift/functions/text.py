@@ -49,12 +49,28 @@ def case_fold(tokens) -> Column:
     return F.transform(col_of(tokens), lambda t: F.lower(t))
 
 
+def _one_char(c: Column, changed: Column) -> Column:
+    """The changed form of a character, unless it is longer than one."""
+    return F.when(F.length(changed) == 1, changed).otherwise(c)
+
+
+def upper_each(c) -> Column:
+    """Upper case character by character; one that would grow (sharp s) stays."""
+    return F.array_join(F.transform(F.regexp_extract_all(col_of(c), F.lit("(?s)."), F.lit(0)), lambda x: _one_char(x, F.upper(x))), "")
+
+
+def lower_each(c) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(col_of(c), F.lit("(?s)."), F.lit(0)), lambda x: _one_char(x, F.lower(x))), "")
+
+
 def ucfirst(c) -> Column:
     """Upper-case the first character only."""
     c = col_of(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    first = F.substring(c, 1, 1)
+    return F.concat(_one_char(first, F.upper(first)), F.substring(c, 2, 1 << 30))
 
 
 def lcfirst(c) -> Column:
     c = col_of(c)
-    return F.concat(F.lower(F.substring(c, 1, 1)), F.substring(c, 2, 1 << 30))
+    first = F.substring(c, 1, 1)
+    return F.concat(_one_char(first, F.lower(first)), F.substring(c, 2, 1 << 30))

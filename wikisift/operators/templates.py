@@ -1,32 +1,33 @@
-"""Template catalog, call edges, joins and expansion.
-
-Expansion (T3) is bounded rounds over DataFrames: each round explodes the
-innermost calls of the pages that still hold one, resolves them with joins
-(redirects, then the catalog; Spark broadcasts the catalog only when its
-measured size is under the broadcast threshold, AQE re-checks at run time),
-evaluates parser functions and parameters with Column expressions, and
-stitches the results back into the page text.  Lineage is cut by a reliable
-checkpoint each round.  Inner calls are resolved before outer ones.
+"""Template catalog, call edges, joins and expansion.
+
+Expansion (T3) is rounds over DataFrames.  A round expands every open page with
+the template bodies it has been given so far; a page that needs further titles
+asks for them, the titles are resolved by joins (redirects, then the catalog)
+and come back with the page in the next round.  A page is done when it
+asks for nothing.  Rounds are as many as templates nest by name, not as the text
+nests.  The depth limit counts template frames, each page on its own.
+
+Asked titles are distinct per page, so a title on every page is one skewed join
+key, which AQE splits; the catalog is broadcast only when Spark measures it small.
+Catalog and redirects are written once and every round's pages are cut by
+a reliable checkpoint.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wikisift.functions import templates as TF
-from wikisift.functions.markup import drop_templates
-from wikisift.functions.text import pystrip
+from wikisift.functions import wikitext as WT
 from wikisift.session import cut_lineage
 
-MAX_TEMPLATE_ROUNDS = 30
-MAX_PARAMETER_DEPTH = 10
-
 
 def template_catalog(template_pages: DataFrame, text: str = "body") -> DataFrame:
-    """A4: one prepared body per title, the later definition wins; empty
-    bodies are skipped; ``definitions`` > 1 marks a redefinition."""
-    prepared = template_pages.select("page_num", "title", TF.template_body(text).alias("body")).where(F.col("body") != "")
+    """A4: one prepared body per title, the later definition wins; redirect pages and
+    empty bodies are skipped; ``definitions`` > 1 marks a redefinition."""
+    prepared = template_pages.where(F.coalesce(TF.redirect_target(text), F.lit("")) == "").select("page_num", "title", TF.template_body(text).alias("body")).where(F.col("body") != "")
     return prepared.groupBy("title").agg(
         F.max_by("body", "page_num").alias("body"), F.count(F.lit(1)).alias("definitions")
     )
@@ -38,11 +39,19 @@ def redirects_of(pages: DataFrame) -> DataFrame:
     return pages.select("title", t.alias("target")).where(F.col("target") != "")
 
 
+_CALLS = "array<struct<depth:int,title:string,parts:array<string>>>"
+
+
 def template_calls(pages: DataFrame, key: str = "page_num") -> DataFrame:
-    """Edge table page -> innermost call (position, title, parts)."""
-    calls = pages.select(key, F.posexplode(F.regexp_extract_all("text", F.lit(TF.CALL_RE), F.lit(1))).alias("pos", "inner"))
-    parts = TF.split_parts("inner")
-    return calls.select(key, "pos", pystrip(F.element_at(parts, 1)).alias("title"), parts.alias("parts"))
+    """Edge table page -> call (position, nesting depth, title, parts), calls
+    inside calls included, in the order in which they open."""
+
+    def calls(texts: pa.Array) -> pa.Array:
+        rows = [[{"depth": d, "title": t, "parts": p} for d, t, p in WT.all_calls(x or "")] for x in texts.to_pylist()]
+        return pa.array(rows, pa.list_(pa.struct([("depth", pa.int32()), ("title", pa.string()), ("parts", pa.list_(pa.string()))])))
+
+    found = pages.where(F.instr("text", "{{") > 0).select(key, F.posexplode(F.arrow_udf(calls, _CALLS)("text")).alias("pos", "c"))
+    return found.select(key, "pos", "c.depth", "c.title", "c.parts")
 
 
 def resolve_redirects(calls: DataFrame, redirects: DataFrame, col: str = "qtitle") -> DataFrame:
@@ -70,70 +79,79 @@ def known_namespace_match(titles: DataFrame, namespaces: DataFrame, col: str = "
     return t.join(namespaces.select(F.col("name").alias("_prefix")), "_prefix", "left_semi").drop("_prefix")
 
 
-def evaluate_calls(calls: DataFrame, catalog: DataFrame, redirects: DataFrame | None,
-                   known_namespaces: list[str], as_of=None) -> DataFrame:
-    """One round of T3 on call rows (key, pos, title, parts, page_title)."""
-    as_of = as_of if as_of is not None else F.lit("2000-01-01 00:00:00").cast("timestamp")
-    title = TF.strip_subst("title")
-    colon = F.instr(title, ":")
-    is_fn = colon > 2
-    fn_name = F.substring(title, 1, colon - 1)
-    rest = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
-    first_arg = pystrip(F.substring(title, colon + 1, 1 << 30))
-    fn_args = F.concat(F.array(first_arg), rest)
-    invoke_name = F.concat(F.lit("#invoke:"), first_arg)
-    invoke_args = F.slice(rest, 2, F.greatest(F.size(rest) - 1, F.lit(0)))
-    fn_value = F.when(fn_name == "#invoke", TF.pf_dispatch(invoke_name, invoke_args)).otherwise(TF.pf_dispatch(fn_name, fn_args))
-    magic = TF.magic_words(title, F.col("page_title"), as_of)
-    c = calls.withColumn("magic", magic).withColumn("fn_value", F.when(is_fn, fn_value)).withColumn(
-        "qtitle", TF.qualify_template_title(title, known_namespaces)
-    ).withColumn("params", TF.call_params_map(rest))
-    if redirects is not None:
-        c = resolve_redirects(c, redirects)
-    c = lookup_templates(c, catalog)
-    c = TF.substitute_args(c, "body", "params", MAX_PARAMETER_DEPTH)
-    value = F.coalesce(F.col("magic"), F.col("fn_value"), F.when(F.col("qtitle") != "", F.col("body")), F.lit(""))
-    return c.select(*[x for x in calls.columns if x not in ("title", "parts")], value.alias("value"))
+_MAGIC = ["!", "pagename", "fullpagename", "currentyear", "currentmonth", "currentday", "currenthour", "currenttime"]
+_EXPANDED = "struct<text:string,overruns:int,title_errors:int,missing:array<string>>"
+_KNOWN = "array<struct<title:string,target:string,body:string>>"
+
+
+def _expander(namespaces: list[str]):
+    def expand(text: pa.Array, known: pa.Array, magic: pa.Array) -> pa.Array:
+        out = []
+        for t, k, m in zip(text.to_pylist(), known.to_pylist(), magic.to_pylist()):
+            run = WT.Expansion({x["title"]: (x["target"], x["body"]) for x in k}, dict(zip(_MAGIC, m)), set(namespaces))
+            value = None if t is None else run.text(t)
+            out.append({"text": value, "overruns": run.overruns, "title_errors": run.title_errors, "missing": sorted(run.missing)})
+        kind = pa.struct([("text", pa.string()), ("overruns", pa.int32()), ("title_errors", pa.int32()), ("missing", pa.list_(pa.string()))])
+        return pa.array(out, kind)
+
+    return F.arrow_udf(expand, _EXPANDED)
 
 
 def expand_templates(pages: DataFrame, catalog: DataFrame, redirects: DataFrame | None = None,
-                     known_namespaces: list[str] | None = None, max_rounds: int = MAX_TEMPLATE_ROUNDS,
-                     key: str = "page_num", as_of=None) -> DataFrame:
-    """Expand template calls, innermost first, until none is left or
-    ``max_rounds`` is reached (overruns are dropped and counted in
-    ``overruns``).  Output: pages with expanded ``text`` and ``overruns``."""
-    known = known_namespaces or ["Template"]
-    cur = pages.withColumn("overruns", F.lit(0))
-    done = None
-    for _ in range(max_rounds):
-        has = F.col("text").rlike(TF.CALL_RE)
-        todo = cur.where(has)
-        finished = cur.where(~has)
-        done = finished if done is None else done.unionByName(finished)
-        todo = cut_lineage(todo)
+                     known_namespaces: list[str] | None = None, key: str = "page_num", as_of=None) -> DataFrame:
+    """Pages (key, title, text, ...) with expanded ``text``, and ``overruns``
+    (calls beyond the depth limits) and ``title_errors`` (calls without a title).
+
+    ``key`` tells pages apart.  A null text stays null.
+    """
+    known_namespaces = known_namespaces or ["Template"]
+    as_of = as_of if as_of is not None else F.lit("2000-01-01 00:00:00").cast("timestamp")
+    words = F.array(*[F.coalesce(TF.magic_words(F.lit(w), F.col("title"), as_of), F.lit("")) for w in _MAGIC])
+    expand = _expander(known_namespaces)
+    catalog = cut_lineage(catalog.select("title", "body"))
+    redirects = None if redirects is None else cut_lineage(redirects.select("title", "target"))
+
+    def run(df: DataFrame) -> DataFrame:
+        return cut_lineage(df.withColumn("_x", expand("text", "_known", words)))
+
+    def finished(df: DataFrame) -> DataFrame:
+        return df.where(F.size("_x.missing") == 0).select(*[F.col("_x.text").alias("text") if c == "text" else F.col(c) for c in pages.columns],
+                                                          F.col("_x.overruns").alias("overruns"), F.col("_x.title_errors").alias("title_errors"))
+
+    has = F.coalesce(F.instr("text", "{{") > 0, F.lit(False))
+    done = pages.where(~has).withColumns({"overruns": F.lit(0), "title_errors": F.lit(0)})
+    cur = run(pages.where(has).withColumn("_known", F.array().cast(_KNOWN)))
+    while True:
+        done = done.unionByName(finished(cur))
+        todo = cur.where(F.size("_x.missing") > 0)
         if todo.isEmpty():
-            cur = todo
-            break
-        calls = template_calls(todo.select(key, "text"), key).join(
-            todo.select(key, F.col("title").alias("page_title")), key
-        )
-        vals = evaluate_calls(calls, catalog, redirects, known, as_of)
-        per_page = vals.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_vals"))
-        parts = F.split("text", TF.CALL_RE, -1)
-        stitched = F.concat(
-            F.element_at(parts, 1),
-            F.array_join(F.transform("_vals", lambda v, i: F.concat(v["value"], F.element_at(parts, i + 2))), ""),
-        )
-        cur = todo.join(per_page, key, "left").withColumn("text", F.when(F.col("_vals").isNull(), F.col("text")).otherwise(stitched)).drop("_vals")
-    else:
-        # depth overrun: count and drop what is left
-        left = cur.where(F.col("text").rlike(TF.CALL_RE))
-        cur = left.withColumn("overruns", F.col("overruns") + F.size(F.regexp_extract_all("text", F.lit(TF.CALL_RE), F.lit(0)))).withColumn(
-            "text", drop_templates("text")
-        ).unionByName(cur.where(~F.col("text").rlike(TF.CALL_RE)))
-    return cur if done is None else done.unionByName(cur)
+            return done
+        asked = todo.select(key, F.explode("_x.missing").alias("title")).withColumn("qtitle", F.col("title"))
+        if redirects is not None:
+            asked = resolve_redirects(asked, redirects)
+        body = catalog.select(F.col("title").alias("_ct"), "body")
+        found = asked.join(body, F.col("qtitle") == F.col("_ct"), "left")
+        given = found.groupBy(key).agg(F.collect_list(F.struct("title", F.col("qtitle").alias("target"), "body")).alias("_new"))
+        cur = run(todo.drop("_x").join(given, key).withColumn("_known", F.concat("_known", "_new")).drop("_new"))
+
+
+def template_args(calls: DataFrame, known_namespaces: list[str], page_title: str = "page_title", as_of=None) -> DataFrame:
+    """Calls (parts, body, page title) with ``body`` filled in by the call's
+    parameters; calls inside defaults that are used see no templates."""
+    as_of = as_of if as_of is not None else F.lit("2000-01-01 00:00:00").cast("timestamp")
+    words = F.array(*[F.coalesce(TF.magic_words(F.lit(w), F.col(page_title), as_of), F.lit("")) for w in _MAGIC])
+
+    def fill(parts: pa.Array, body: pa.Array, magic: pa.Array) -> pa.Array:
+        out = []
+        for p, b, m in zip(parts.to_pylist(), body.to_pylist(), magic.to_pylist()):
+            run = WT.Expansion({}, dict(zip(_MAGIC, m)), set(known_namespaces))
+            out.append(run.filled(b or "", WT.bind([run.text(x) for x in p[1:]]), 0))
+        return pa.array(out, pa.string())
+
+    return calls.withColumn("body", F.arrow_udf(fill, "string")("parts", "body", words))
 
 
 def template_error_counts(expanded: DataFrame, key: str = "page_num") -> DataFrame:
-    """Per page, depth overruns (only rows with a non-zero count)."""
-    return expanded.groupBy(key).agg(F.sum("overruns").alias("overruns")).where(F.col("overruns") > 0)
+    """Per page, depth overruns and calls without a title (only rows with one)."""
+    sums = expanded.groupBy(key).agg(F.sum("overruns").alias("overruns"), F.sum("title_errors").alias("title_errors"))
+    return sums.where("overruns > 0 OR title_errors > 0")

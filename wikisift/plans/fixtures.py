@@ -18,7 +18,7 @@ MARKUP_PREFIXES = [
     "'''Bold''' and ''it'' and '''''both'''''",
     "[[Page 3|label]]s [[Plain]] [[File:x.png|thumb|cap [[Page 4]]]]",
     "[http://a.example/b the label] [http://a.example]",
-    "{{T10|a|k=v}} x {{T0|{{T20}}|k=v}} {{gone}}",
+    "{{T10|a|k=v}} x {{T0|{{T20}}|k=v}} {{gone}} {{Template:T10|1}} {{subst:T20}}",
     "{| a {| b |} c |} __NOTOC__",
     "== H1 ==\n=== H2 ===\n pre line\ntext\n== Empty ==\n== Last ==\nx",
     "* one\n** two\n# three\n: indent\nafter list\n(paren)\n---\n|cell",
@@ -33,6 +33,53 @@ TEMPLATE_BODIES = {
 }
 
 
+# Further templates, a redirect and one call text per rule of the
+# expansion, with the result worked out by hand ("<T>" is the page's title), the
+# calls beyond the depth limit and the calls without a title.
+CASE_TEMPLATES = {
+    "D": "X{{{1|{{PAGENAME}}}}}Y",
+    "I": "i({{{1}}},{{{2|none}}})",
+    "N": "n[{{I|{{{1}}}|{{D}}}}]",
+    "Loop": "l{{Loop}}",
+    "Convert": "{{#invoke:convert|convert}}",
+    "Name": "{{{a{{{1|}}}|no}}}",
+    "Old": "#REDIRECT [[Template:I]]",
+}
+CALL_CASES = [
+    ("{{D}} {{D|z}}", "X<T>Y XzY", 0, 0),
+    ("{{I|a{{!}}b}}", "i(a|b,none)", 0, 0),
+    ("{{I|a{b}c}} {{{x|y}}}{a}", "i(a{b}c,none) {a}", 0, 0),
+    ("{{N|q}}", "n[i(q,X<T>Y)]", 0, 0),
+    ("{{#if: {{D}} | yes{{I|1|2}} | no}}{{#if:|a| b }}", "yesi(1,2)b", 0, 0),
+    ("{{Loop}}", "l" * 29, 1, 0),
+    ("{{Convert|5|km}}{{#invoke:convert|nofunc|5|km}}", "5 km", 0, 0),
+    ("{{Old|r}}", "i(r,none)", 0, 0),
+    ("{{gone}}{{ }}-", "-", 0, 1),
+    ("{{#switch: b | a = 1 | b | c = 3 | #default = d}}{{#ifeq: a | a | t | f}}{{lc:ABC}}{{ucfirst:x}}{{int: 007 }}", "3tabcX7", 0, 0),
+    ("{{subst:I|{{PAGENAME}}}}", "i(<T>,none)", 0, 0),
+    ("{{Name|x|ax=v}}{{Name|y}}{{I|[[p|q]]|b}}", "vnoi([[p|q]],b)", 0, 0),
+]
+EXPANDED_PREFIX = "AB x v2 Hi QS v   QS"  # of the markup prefix that holds calls
+
+
+def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """wikipages with the document's call case as a last line."""
+    cases = F.array(*[F.lit(c[0]) for c in CALL_CASES])
+    case = F.element_at(cases, (F.col("id") % len(CALL_CASES) + 1).cast("int"))
+    return wikipages(spark, sf_dir).select("page_num", "id", "title", F.concat("text", F.lit("\n"), case).alias("text"))
+
+
+def case_templates(spark: SparkSession) -> DataFrame:
+    rows = [(-k, -k, f"Template:{t}", b) for k, (t, b) in enumerate(CASE_TEMPLATES.items(), 1)]
+    return spark.createDataFrame(rows, "page_num long, id long, title string, body string")
+
+
+def sql_case(column: int) -> str:
+    """A CASE over doc ids (column ``id``) with a column of ``CALL_CASES``."""
+    show = lambda v: _sql_str(v) if isinstance(v, str) else str(v)
+    return f"CASE id % {len(CALL_CASES)} " + " ".join(f"WHEN {k} THEN {show(c[column])}" for k, c in enumerate(CALL_CASES)) + " END"
+
+
 def wikipages(spark: SparkSession, sf_dir: str, with_duplicates: bool = False) -> DataFrame:
     d = text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", "text")
     ns = F.when(F.col("doc_id") % 10 == 0, 10).when(F.col("doc_id") % 10 == 1, 14).otherwise(0)
