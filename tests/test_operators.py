@@ -86,6 +86,24 @@ def test_compact_forms_agree_and_are_stable(spark):
     assert both_forms(spark, ["text\nmore\ntext"])[0] == ["text\nmore\ntext"]
 
 
+FLAG_CASES = [
+    ("== A ==\n=== B ===\nx\n y\n== C ==\n== D ==\n z", dict(sections=True), "A.\nB.\nx\nD.\n z"),
+    ("== A ==\n=== B ===\n== C ==\nx", dict(sections=True), "C.\nx"),
+    ("=== A ===\n== B ==\n=== C? ===\nx", dict(sections=True), "B.\nC?\nx"),
+    ("== A ==\n* i\ntail\nx\n y", dict(lists=True), "A.\n- i\ntail"),
+    ("* a\n#\n*** b\n## c\n; d", dict(lists=True), "- a\n-  b\n1. c\n- d"),
+    ("== A ==\nx\n* i\ny\nz", dict(sections=True, lists=True), "A.\nx\n- i\ny\nz"),
+    ("== A ==\nx\n* i\n** j\ny\nz", dict(html=True), "<h2>A</h2>\nx\n<ul>\n<li>i</li>\n<ul>\n<li>j</li>\ny\n</ul>\n</ul>\nz"),
+    ("; t\n* u\n# v", dict(html=True), "<dl>\n<dt>t</dt>\n<li>u</li>\n</ul>\n<ol>\n<li>v</<li>"),
+]
+
+
+def test_line_flags(spark):
+    for text, flags, want in FLAG_CASES:
+        df = spark.createDataFrame([(1, text)], "page_num long, text string")
+        assert L.reassemble(L.render_lines(L.to_lines(df), **flags)).first()["text"] == want
+
+
 def test_compact_is_linear(spark):
     import time
 

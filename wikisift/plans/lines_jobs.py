@@ -161,6 +161,70 @@ def q_compact_text(spark, sf_dir):
     return p.where(F.col("text") != "")
 
 
+# Results of the fixture's header and list lines, worked out by hand.
+@register(
+    "pending_headers",
+    f"""WITH {sql_wikipages()} SELECT page_num, pos, level, title FROM (SELECT page_num, id FROM wikipages) AS w,
+(VALUES (2, 2, 'H1.'), (2, 3, 'H2.'), (6, 2, 'Last.')) AS v(pos, level, title) WHERE id % 8 = 5""",
+)
+def q_pending_headers(spark, sf_dir):
+    """The section titles shown before the first kept line of a section."""
+    p = L.pending_lines(_lines(spark, sf_dir))
+    return p.select("page_num", "pos", F.inline("pending")).select("page_num", "pos", "level", "title")
+
+
+@register(
+    "list_items_text",
+    f"""WITH {sql_wikipages()} SELECT page_num, pos, line FROM (SELECT page_num, id FROM wikipages) AS w,
+(VALUES (0, '- one'), (1, '- two'), (2, '1. three')) AS v(pos, line) WHERE id % 8 = 6""",
+)
+def q_list_items_text(spark, sf_dir):
+    """List items kept as text."""
+    ln = _lines(spark, sf_dir).where((L.line_kind("line") == "list") & (L.list_body("line") != ""))
+    return ln.select("page_num", "pos", L.list_item_text("line").alias("line"))
+
+
+@register(
+    "list_items_html",
+    f"""WITH {sql_wikipages()} SELECT page_num, pos, sub, line FROM (SELECT page_num, id FROM wikipages) AS w,
+(VALUES (0, 0, '<ul>'), (0, 1, '<li>one</li>'), (1, 0, '<ul>'), (1, 1, '<li>two</li>'), (2, 0, '</ul>'), (2, 1, '<ol>'), (2, 2, '</ul>'),
+  (2, 3, '<li>three</<li>'), (4, 0, 'after list'), (4, 1, '</ol>')) AS v(pos, sub, line) WHERE id % 8 = 6""",
+)
+def q_list_items_html(spark, sf_dir):
+    """List lines, and the line that ends a list, in HTML mode."""
+    r = L.render_lines(_lines(spark, sf_dir), html=True)
+    return r.join(wikipages(spark, sf_dir).where("id % 8 = 6").select("page_num"), "page_num").where("pos <= 4")
+
+
+@register(
+    "headers_html",
+    f"""WITH {sql_wikipages()} SELECT page_num, pos, line FROM (SELECT page_num, id FROM wikipages) AS w,
+(VALUES (0, '<h2>H1</h2>'), (1, '<h3>H2</h3>'), (4, '<h2>Empty</h2>'), (5, '<h2>Last</h2>')) AS v(pos, line) WHERE id % 8 = 5""",
+)
+def q_headers_html(spark, sf_dir):
+    """Header lines in HTML mode."""
+    ln = _lines(spark, sf_dir).where(L.line_kind("line") == "header")
+    return ln.select("page_num", "pos", L.header_html("line").alias("line"))
+
+
+def _sql_all_flags() -> str:
+    """The default result with the lines that the flags add: section titles and
+    list items; a section opened by an item keeps no further line."""
+    return WITH_LINES + """, extra AS (
+  SELECT page_num, pos, sub, line FROM (SELECT page_num, id FROM wikipages) AS w,
+  (VALUES (5, 2, 0, 'H1.'), (5, 2, 1, 'H2.'), (5, 6, 0, 'Last.'), (6, 0, 0, '- one'), (6, 1, 0, '- two'), (6, 2, 0, '1. three')) AS v(r, pos, sub, line)
+  WHERE id % 8 = r
+)
+SELECT page_num, string_agg(line, chr(10) ORDER BY pos, sub) AS text
+FROM (SELECT page_num, pos, 9 AS sub, line FROM kept UNION ALL SELECT * FROM extra) GROUP BY page_num"""
+
+
+@register("compact_sections_lists", _sql_all_flags())
+def q_compact_sections_lists(spark, sf_dir):
+    """R6 with section titles and list items kept."""
+    return L.reassemble(L.render_lines(_lines(spark, sf_dir), sections=True, lists=True))
+
+
 # ----------------------------------------------------- whole article (R7) --
 def clean_article_frame(spark, sf_dir):
     from wikisift.operators.pages import filter_articles
