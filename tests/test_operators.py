@@ -167,6 +167,38 @@ def test_lexicon_enrich_brute_force(spark):
     assert r["id_tokens"] == ["c2", "c4", "and", "c3"]
 
 
+def test_unicode_white_space_and_marks(spark):
+    df = spark.createDataFrame([(1, "\u00a0\u2003\n\u3000a\u00a0b\u0301c \u2009\n\x1c\x85")], "doc_id long, text string")
+    assert [tuple(r) for r in corpus(df).collect()] == [(1, 1, 0, ["a", "b\u0301c"])]
+
+
+def test_sentences_by_language(spark):
+    rows = [(1, "Dr. Smith met J. Doe. He left! No. 5 stays? Yes.", "en"), (2, "Das ist z.B. gut. Hr. Meier kam.", "de"), (3, "Hr. Meier kam.", "en"), (4, "La Sra. Paz vino. Fin.", "es"), (5, "Dr. X. left.", "xx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {}
+    for r in sorted(corpus(df).collect(), key=lambda r: (r["doc_id"], r["sent_no"])):
+        got.setdefault(r["doc_id"], []).append(" ".join(r["tokens"]))
+    assert got == {1: ["Dr . Smith met J . Doe .", "He left !", "No . 5 stays ?", "Yes ."], 2: ["Das ist z . B . gut .", "Hr . Meier kam ."],
+                   3: ["Hr .", "Meier kam ."], 4: ["La Sra . Paz vino .", "Fin ."], 5: ["Dr . X . left ."]}
+
+
+def test_case_and_int_rules(spark):
+    assert one(spark, "straße ﬁx", lambda c: TF.pf_case("uc", F.array(c))) == "STRAßE ﬁX"
+    assert one(spark, "ßa", lambda c: TF.pf_case("ucfirst", F.array(c))) == "ßa"
+    for text, want in [(" -007 ", "-7"), ("-0", "0"), ("+12345678901234567890123", "12345678901234567890123"), ("1 2", ""), ("", "")]:
+        assert one(spark, text, lambda c: TF.pf_int(F.array(c))) == want
+
+
+def test_title_rules(spark):
+    known = ["Template", "MediaWiki"]
+    for title, want in [("MediaWiki:foo", "MediaWiki:foo"), ("mediaWiki:foo", "MediaWiki:foo"), ("mediawiki:foo", "Template:Mediawiki:foo"), (":foo", "Foo"), ("", "")]:
+        assert one(spark, title, lambda c: TF.qualify_template_title(c, known)) == want
+    assert one(spark, "#REDIRECT\n[[X]]", TF.redirect_target) == ""
+    assert one(spark, "#redirect [[X y]] z", TF.redirect_target) == "X y"
+    tpl = spark.createDataFrame([(1, "Template:A", "#REDIRECT [[Template:B]]"), (2, "Template:B", "b")], "page_num long, title string, body string")
+    assert [r["title"] for r in OT.template_catalog(tpl).collect()] == ["Template:B"]
+
+
 def test_vocabulary_counts(spark):
     df = spark.createDataFrame([(1, "A b. A c!\n\n  A b  ")], "doc_id long, text string")
     v = {r["word"]: r["count"] for r in vocabulary(corpus(df), min_count=2).collect()}

@@ -9,16 +9,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.strip() removes all white space, Spark's trim() only blanks.
-STRIP_RE = r"^\s+|\s+$"
-
-# Sentence boundary: a terminal mark followed by white space.
-SENTENCE_BREAK_RE = r"([.!?])\s+"
-SENT_SEP = "\u0001"
-
-# A word is a run of letters/digits/underscore, optionally joined by inner
-# hyphens or apostrophes; any other non-space character is its own token.
-TOKEN_RE = r"[\p{L}\p{N}_]+(?:[-'][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s]"
+# White space as Unicode text strippers know it (both regex dialects): controls,
+# blanks, next line, no-break space, the spaces of the General Punctuation block.
+WHITE = r"\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+STRIP_RE = f"^[{WHITE}]+|[{WHITE}]+$"
+
+# Sentence boundary: a terminal mark followed by white space, unless the mark is
+# the point of an abbreviation or of a single capital letter.
+SENTENCE_BREAK_RE = f"([.!?])[{WHITE}]+"
+# Noncharacters, which interchanged text does not hold.
+SENT_SEP, POINT = "\ufdd0", "\ufdd1"
+
+# Abbreviations whose point ends no sentence, by tokenizer language.
+ABBREVIATIONS = {
+    "english": "Mr Mrs Ms Dr Prof Rev Gen Col Capt Lt Sgt Jr Sr vs Inc Ltd Corp Dept Fig No Vol approx e.g i.e cf",
+    "spanish": "Sr Sra Srta Dr Dra Prof Ud Uds Lic Ing núm pág vol cap p.ej",
+    "french": "Mme Mlle Mlles MM Dr Prof Me St Ste cf env éd vol chap p.ex",
+    "german": "Dr Prof Hr Fr Nr Bd Abs Abb bzw ca vgl sog evtl z.B d.h u.a",
+    "italian": "Sig Dott Prof Ing Avv pag vol cap ecc p.es",
+    "portuguese": "Sr Sra Srta Dr Dra Prof Eng núm pág vol cap p.ex",
+}
+
+# A word is a run of letters, marks, digits and underscores, optionally joined by
+# inner hyphens or apostrophes; any other character that is not white is a token.
+_IN_WORD = r"\p{L}\p{M}\p{N}_"
+TOKEN_RE = f"[{_IN_WORD}]+(?:[-'][{_IN_WORD}]+)*|[^{_IN_WORD}{WHITE}]"
 
 
 def col_of(c) -> Column:
@@ -26,7 +41,7 @@ def col_of(c) -> Column:
 
 
 def pystrip(c) -> Column:
-    """str.strip(): drop leading and trailing white space."""
+    """Drop leading and trailing white space (Unicode)."""
     return F.regexp_replace(col_of(c), STRIP_RE, "")
 
 
@@ -34,9 +49,24 @@ def split_lines(c) -> Column:
     return F.split(col_of(c), "\n")
 
 
-def sentence_split(c) -> Column:
-    """Paragraph -> array of sentences (rule based, see README)."""
-    return F.split(F.regexp_replace(col_of(c), SENTENCE_BREAK_RE, "$1" + SENT_SEP), SENT_SEP)
+def abbreviation_re(language: str) -> str:
+    words = "|".join(w.replace(".", r"\.") for w in ABBREVIATIONS[language].split())
+    return rf"(^|[^{_IN_WORD}])({words}|\p{{Lu}})\."
+
+
+def sentence_split(c, language=None) -> Column:
+    """Paragraph -> array of sentences.
+
+    ``language``: a column with the tokenizer language (P9); English when none.
+    """
+    c = col_of(c)
+    guarded = F.regexp_replace(c, abbreviation_re("english"), "$1$2" + POINT)
+    if language is not None:
+        for name in ABBREVIATIONS:
+            if name != "english":
+                guarded = F.when(col_of(language) == name, F.regexp_replace(c, abbreviation_re(name), "$1$2" + POINT)).otherwise(guarded)
+    parts = F.split(F.regexp_replace(guarded, SENTENCE_BREAK_RE, "$1" + SENT_SEP), SENT_SEP)
+    return F.transform(parts, lambda s: F.replace(s, F.lit(POINT), F.lit(".")))
 
 
 def word_tokenize(c) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wikisift.functions.text import (
+    WHITE,
     case_fold,
     col_of,
     pystrip,
@@ -36,31 +37,41 @@ LANGUAGE_ROUTES = [
 ]
 
 
-def strip_blank_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per stripped, non-blank line: (key, par_no, text).
+def tokenizer_language(lang) -> Column:
+    """The tokenizer language of a language code (English for others)."""
+    names = F.create_map(*[x for code, _, name in LANGUAGE_ROUTES for x in (F.lit(code), F.lit(name))])
+    return F.coalesce(F.try_element_at(names, F.upper(col_of(lang))), F.lit("english"))
+
+
+def strip_blank_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: tuple = ()) -> DataFrame:
+    """One row per stripped, non-blank line: (key, par_no, text, *keep).
 
     ``par_no`` is the line's position in the original text (0-based), a
     stable paragraph key that needs no global numbering.
     """
     return (
-        docs.select(key, F.posexplode(split_lines(text)).alias("par_no", "raw"))
-        .select(key, "par_no", pystrip("raw").alias("text"))
+        docs.select(key, *keep, F.posexplode(split_lines(text)).alias("par_no", "raw"))
+        .select(key, "par_no", pystrip("raw").alias("text"), *keep)
         .where(F.col("text") != "")
     )
 
 
-def sentences(paragraphs: DataFrame, key: str = "doc_id", ignore_case: bool = False) -> DataFrame:
+def sentences(paragraphs: DataFrame, key: str = "doc_id", ignore_case: bool = False, language=None) -> DataFrame:
     """X1+X2(+X3): (key, par_no, sent_no, tokens array<string>)."""
-    s = paragraphs.select(key, "par_no", F.posexplode(sentence_split("text")).alias("sent_no", "sentence"))
+    s = paragraphs.select(key, "par_no", F.posexplode(sentence_split("text", language)).alias("sent_no", "sentence"))
     toks = word_tokenize("sentence")
     if ignore_case:
         toks = case_fold(toks)
     return s.select(key, "par_no", "sent_no", toks.alias("tokens"))
 
 
-def corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", ignore_case: bool = False) -> DataFrame:
-    """Documents -> tokenised sentences, end to end."""
-    return sentences(strip_blank_lines(docs, key, text), key, ignore_case)
+def corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", ignore_case: bool = False, lang: str = "lang") -> DataFrame:
+    """Documents -> tokenised sentences, end to end.  A ``lang`` column, where
+    there is one, chooses the sentence rules."""
+    if lang not in docs.columns:
+        return sentences(strip_blank_lines(docs, key, text), key, ignore_case)
+    routed = docs.withColumn("_language", tokenizer_language(lang))
+    return sentences(strip_blank_lines(routed, key, text, ("_language",)), key, ignore_case, F.col("_language"))
 
 
 def sentence_lines(sents: DataFrame) -> DataFrame:
@@ -71,7 +82,7 @@ def sentence_lines(sents: DataFrame) -> DataFrame:
 def parse_sentence_line(line) -> Column:
     """A sentence line back to tokens (whitespace split; blank -> [])."""
     t = pystrip(line)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, r"\s+"))
+    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, f"[{WHITE}]+"))
 
 
 def vocabulary(sents: DataFrame, min_count: int = 10, tokens: str = "tokens") -> DataFrame:
@@ -116,14 +127,15 @@ def corpus_stats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     aggregation, done partially in every task.
     """
     paras = F.filter(F.transform(split_lines(text), lambda p: pystrip(p)), lambda p: p != "")
+    language = tokenizer_language("lang") if "lang" in docs.columns else None
     per_doc = docs.select(
         F.size(paras).alias("n_par"),
-        F.aggregate(paras, F.lit(0).cast("bigint"), lambda acc, p: acc + F.size(sentence_split(p))).alias("n_sent"),
+        F.aggregate(paras, F.lit(0).cast("bigint"), lambda acc, p: acc + F.size(sentence_split(p, language))).alias("n_sent"),
         F.aggregate(
             paras,
             F.lit(0).cast("bigint"),
             lambda acc, p: acc
-            + F.aggregate(sentence_split(p), F.lit(0).cast("bigint"), lambda a2, s: a2 + F.size(word_tokenize(s))),
+            + F.aggregate(sentence_split(p, language), F.lit(0).cast("bigint"), lambda a2, s: a2 + F.size(word_tokenize(s))),
         ).alias("n_tok"),
     )
     return per_doc.agg(

@@ -4,38 +4,50 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wikisift.functions.text import ABBREVIATIONS
 from wikisift.operators import corpus as C
 from wikisift.plans.catalog import register
 from wikisift.session import table, text_table
 
 # --- shared oracle fragments (DuckDB) -------------------------------------
-# Paragraph rows: position in the newline split, stripped, non-blank.
-SQL_PARAS = r"""
-paras AS (
-  SELECT doc_id, par_no, text FROM (
-    SELECT doc_id, i AS par_no,
-           regexp_replace(l[i + 1], '^\s+|\s+$', '', 'g') AS text
-    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents) d,
+# White space and word characters, spelled out for RE2.
+SQL_WS = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SQL_TOKENS = r"""regexp_extract_all(sentence, '[\p{L}\p{M}\p{N}_]+(?:[-''][\p{L}\p{M}\p{N}_]+)*|[^\p{L}\p{M}\p{N}_WS]')""".replace("WS", SQL_WS)
+
+
+def sql_paras(name: str, source: str, key: str, extra: str = "") -> str:
+    """Paragraph rows: position in the newline split, stripped, non-blank."""
+    return f"""
+{name} AS (
+  SELECT doc_id, par_no, text{extra} FROM (
+    SELECT doc_id{extra}, i AS par_no, regexp_replace(l[i + 1], '^[{SQL_WS}]+|[{SQL_WS}]+$', '', 'g') AS text
+    FROM (SELECT {key} AS doc_id{extra}, string_split(text, chr(10)) AS l FROM {source}) d,
          unnest(range(len(d.l))) AS r(i)
   ) WHERE text <> ''
 )"""
 
-SQL_SENTS = (
-    SQL_PARAS
-    + r""",
-sents AS (
-  SELECT doc_id, par_no, j AS sent_no, s[j + 1] AS sentence FROM (
-    SELECT doc_id, par_no,
-           string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS s
-    FROM paras
+
+def sql_guard(language: str) -> str:
+    """The points of abbreviations and single capitals replaced by chr(1)."""
+    words = "|".join(w.replace(".", "\\.") for w in ABBREVIATIONS[language].split())
+    return rf"regexp_replace(text, '(^|[^\p{{L}}\p{{M}}\p{{N}}_])({words}|\p{{Lu}})\.', '\1\2' || chr(1), 'g')"
+
+
+def sql_sents(name: str, toks: str, paras: str, guarded: str) -> str:
+    return f"""
+{name} AS (
+  SELECT doc_id, par_no, j AS sent_no, replace(s[j + 1], chr(1), '.') AS sentence FROM (
+    SELECT doc_id, par_no, string_split(regexp_replace({guarded}, '([.!?])[{SQL_WS}]+', '\\1' || chr(2), 'g'), chr(2)) AS s
+    FROM {paras}
   ) p, unnest(range(len(p.s))) AS r(j)
 ),
-toks AS (
-  SELECT doc_id, par_no, sent_no,
-         regexp_extract_all(sentence, '[\p{L}\p{N}_]+(?:[-''][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s]') AS tokens
-  FROM sents
-)"""
-)
+{toks} AS (SELECT doc_id, par_no, sent_no, {SQL_TOKENS} AS tokens FROM {name})"""
+
+
+SQL_PARAS = sql_paras("paras", "documents", "doc_id", ", lang")
+_BY_LANGUAGE = ("CASE upper(lang) " + " ".join(f"WHEN '{code}' THEN {sql_guard(name)}" for code, _, name in C.LANGUAGE_ROUTES[1:])
+                + f" ELSE {sql_guard('english')} END")
+SQL_SENTS = SQL_PARAS + "," + sql_sents("sents", "toks", "paras", _BY_LANGUAGE)
 
 
 def docs(spark, sf_dir):
@@ -69,8 +81,8 @@ def q_strip_blank_lines(spark, sf_dir):
 def q_sentence_split(spark, sf_dir):
     from wikisift.functions.text import sentence_split
 
-    p = C.strip_blank_lines(docs(spark, sf_dir))
-    return p.select("doc_id", "par_no", F.posexplode(sentence_split("text")).alias("sent_no", "sentence"))
+    p = C.strip_blank_lines(docs(spark, sf_dir).withColumn("language", C.tokenizer_language("lang")), keep=("language",))
+    return p.select("doc_id", "par_no", F.posexplode(sentence_split("text", "language")).alias("sent_no", "sentence"))
 
 
 @register(
@@ -164,24 +176,11 @@ def q_language_route(spark, sf_dir):
     "concat_corpora",
     "WITH "
     + SQL_SENTS
-    + r""",
-conv_paras AS (
-  SELECT conv_id * 1000 + turn AS doc_id, par_no, text FROM (
-    SELECT conv_id, turn, i AS par_no, regexp_replace(l[i + 1], '^\s+|\s+$', '', 'g') AS text
-    FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS l FROM conversations) d,
-         unnest(range(len(d.l))) AS r(i)
-  ) WHERE text <> ''
-),
-conv_sents AS (
-  SELECT doc_id, par_no, j AS sent_no, s[j + 1] AS sentence FROM (
-    SELECT doc_id, par_no, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS s
-    FROM conv_paras) p, unnest(range(len(p.s))) AS r(j)
-),
-conv_toks AS (
-  SELECT doc_id, par_no, sent_no,
-         regexp_extract_all(sentence, '[\p{L}\p{N}_]+(?:[-''][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s]') AS tokens
-  FROM conv_sents
-)
+    + ","
+    + sql_paras("conv_paras", "conversations", "conv_id * 1000 + turn")
+    + ","
+    + sql_sents("conv_sents", "conv_toks", "conv_paras", sql_guard("english"))
+    + """
 SELECT 'documents' AS corpus, doc_id, par_no, sent_no, array_to_string(tokens, ' ') AS line FROM toks
 UNION ALL
 SELECT 'conversations' AS corpus, doc_id, par_no, sent_no, array_to_string(tokens, ' ') AS line FROM conv_toks""",

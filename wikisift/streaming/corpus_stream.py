@@ -25,7 +25,7 @@ def read_documents_stream(spark: SparkSession, src_dir: str, max_files: int = 16
 
 def stream_sentences(docs: DataFrame, clean: bool = False) -> DataFrame:
     """Streaming documents -> tokenised sentences (optionally cleaned first)."""
-    d = docs.select("doc_id", "text")
+    d = docs.select("doc_id", "text", "lang")
     if clean:
         d = clean_markup(d, "text").withColumn("text", compact_text("text"))
     return corpus(d).select("doc_id", "par_no", "sent_no", F.array_join("tokens", " ").alias("line"))
@@ -33,7 +33,7 @@ def stream_sentences(docs: DataFrame, clean: bool = False) -> DataFrame:
 
 def stream_vocabulary(docs: DataFrame) -> DataFrame:
     """Running word counts (stateful aggregation; filter by min count on read)."""
-    return corpus(docs.select("doc_id", "text")).select(F.explode("tokens").alias("word")).groupBy("word").count()
+    return corpus(docs.select("doc_id", "text", "lang")).select(F.explode("tokens").alias("word")).groupBy("word").count()
 
 
 def run_sentences_once(spark: SparkSession, src_dir: str, out_dir: str, name: str = "sentences") -> None:
