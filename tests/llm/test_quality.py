@@ -61,6 +61,14 @@ def test_outliers(spark, rng, clash):
     assert rows_of(stage, "doc_id", "text") == sorted(((k, t) for k, t, *_ in rows if k in kept), key=repr)
 
 
+def test_salted_join_gives_the_same(spark, rng, monkeypatch):
+    rows, _ = corpus(rng, 300)
+    df = spark.createDataFrame(rows, DOCS)
+    want = rows_of(qr.quality_rules(df), "doc_id", "kept")
+    monkeypatch.setattr(qr, "BROADCAST_GROUPS", 0)
+    assert rows_of(qr.quality_rules(df), "doc_id", "kept") == want
+
+
 def test_estimate_resists_outliers(spark):
     """A quarter of far rows leaves location and scatter nearly those of the rest."""
     gen = np.random.Generator(np.random.PCG64(3))

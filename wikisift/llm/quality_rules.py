@@ -6,8 +6,9 @@ computed over ALL rows by concentration steps ("C-steps"): from a start at the
 medians and MADs, each step keeps the ``h`` share of rows nearest in
 Mahalanobis distance and takes their mean and covariance.  Each step is two
 hash aggregates over the narrow statistics table (a percentile sketch and
-moment sums, both combined map-side, so a source with a third of all rows
-costs its tasks no more than the others).  Rows beyond ``CUTOFF`` squared
+moment sums, both combined within tasks before they shuffle; a group's parameters
+come to its rows by a size-checked broadcast or a salted join, so a source with a
+third of all rows fills no task).  Rows beyond ``CUTOFF`` squared
 Mahalanobis distance are rejected.
 
 Defined results: null text = no words (base rules fail, not kept); null lang or
@@ -213,6 +214,31 @@ def consistency(h: float, p: int = P) -> float:
     return h / cdf(lo, p + 2)
 
 
+#: Groups up to which their parameters are broadcast (30 numbers each, under
+#: 5 MB); beyond, rows and parameters meet in a join over ``SALTS`` shares of a group.
+BROADCAST_GROUPS, SALTS = 20_000, 32
+
+
+def _with_group(rows: DataFrame, per_group: DataFrame, groups: int, how: str = "inner") -> DataFrame:
+    """``rows`` (with grp) joined to a table of one row a group.
+
+    Either way no task gets a whole group, and an aggregate that follows
+    combines within tasks before it shuffles.
+    """
+    if groups <= BROADCAST_GROUPS:
+        return rows.join(F.broadcast(per_group), "grp", how)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    copies = per_group.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["grp", "salt"], how).drop("salt")
+
+
+def _paired(stats: DataFrame, pair_map: DataFrame, groups: int) -> DataFrame:
+    """``stats`` with grp: the map has a row a pair of language and source."""
+    keyed = stats.withColumn("pair", _key("lang", "source"))
+    named = pair_map.select(F.col("pair").alias("grp"), F.col("grp").alias("of"))
+    return _with_group(keyed.withColumnRenamed("pair", "grp"), named, groups, "left").drop("grp").withColumnRenamed("of", "grp")
+
+
 def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pair -> grp, grp -> location and precision) over all rows of ``stats``.
 
@@ -220,21 +246,22 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     results have a row per (lang, source) and per group.
     """
     pair_map = cut_lineage(_grouped(stats))
-    rows = (stats.where(~F.col("base_failed")).withColumn("pair", _key("lang", "source")).join(pair_map, "pair")
-            .select("grp", *NAMES))
+    groups = pair_map.count()
+    rows = _paired(stats.where(~F.col("base_failed")), pair_map, groups).select("grp", *NAMES)
     median = lambda c: F.percentile_approx(c, 0.5, 1000)
     mid = cut_lineage(rows.groupBy("grp").agg(*(median(n).alias(f"mu_{i}") for i, n in enumerate(NAMES))))
-    mad = rows.join(mid, "grp").groupBy("grp").agg(*(F.first(f"mu_{i}").alias(f"mu_{i}") for i in range(P)),
-                                                   *(F.pow(1.4826 * median(F.abs(F.col(n) - F.col(f"mu_{i}"))), 2).alias(f"c_{i}_{i}") for i, n in enumerate(NAMES)))
+    mad = _with_group(rows, mid, groups).groupBy("grp").agg(*(F.first(f"mu_{i}").alias(f"mu_{i}") for i in range(P)),
+                                                            *(F.pow(1.4826 * median(F.abs(F.col(n) - F.col(f"mu_{i}"))), 2).alias(f"c_{i}_{i}") for i, n in enumerate(NAMES)))
     start = mad.withColumns({f"c_{i}_{j}": F.lit(0.0) for i in range(P) for j in range(i)})
     params = cut_lineage(start.mapInPandas(_precision, _PARAMS_TYPE))
     factor = consistency(H_SHARE)
     for _ in range(C_STEPS):
-        near = rows.join(params, "grp").withColumn("d2", _distance())
+        near = _with_group(rows, params, groups).withColumn("d2", _distance())
         cut = near.groupBy("grp").agg(F.percentile_approx("d2", H_SHARE, 1000).alias("cut"))
+        bounded = cut_lineage(params.join(cut, "grp"))
         # moments about the previous centre, so that large means lose no digits
         d = [F.col(n) - F.col(f"mu_{i}") for i, n in enumerate(NAMES)]
-        sums = (near.join(cut, "grp").where("d2 <= cut").groupBy("grp")
+        sums = (_with_group(rows, bounded, groups).withColumn("d2", _distance()).where("d2 <= cut").groupBy("grp")
                 .agg(F.count(F.lit(1)).alias("n"), *(F.first(f"mu_{i}").alias(f"old_{i}") for i in range(P)), *(F.avg(d[i]).alias(f"m_{i}") for i in range(P)),
                      *(F.avg(d[i] * d[j]).alias(f"s_{i}_{j}") for i in range(P) for j in range(i + 1))))
         moved = sums.select("grp", *((F.col(f"old_{i}") + F.col(f"m_{i}")).alias(f"mu_{i}") for i in range(P)),
@@ -246,7 +273,8 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
 def judged(stats: DataFrame, pair_map: DataFrame, params: DataFrame) -> DataFrame:
     """``stats`` plus distance2 and kept.  Rows of a group without an estimate
     (all its rows failed the base rules) are judged by the base rules alone."""
-    return (stats.withColumn("pair", _key("lang", "source")).join(pair_map, "pair", "left").join(params, "grp", "left")
+    groups = pair_map.count()
+    return (_with_group(_paired(stats, pair_map, groups), params, groups, "left")
             .withColumn("distance2", _distance())
             .withColumn("kept", ~F.col("base_failed") & (F.coalesce(F.col("distance2"), F.lit(0.0)) <= CUTOFF)))
 
