@@ -31,11 +31,15 @@ def test_internal_links(spark):
     assert one(spark, "[[File:x.png|thumb|cap [[Page 4]]]]", f) == ""
     assert one(spark, "[[w:Foo|bar]]", f) == "bar"
     assert one(spark, "[[:Category:X|y]]", f) == ""
+    assert one(spark, "[[Page|thumb|cap [[X]]]] [[P|a [[Q|b|c]] d]]", f) == "cap X a b|c d"
+    assert one(spark, "[[Image:x|y]]", lambda c: f(c, namespaces=["Image"])) == "y"
+    assert one(spark, "[[A b/é|t]]", lambda c: f(c, keep_links=True)) == '<a href="A%20b/%C3%A9">t</a>'
 
 
 def test_external_links_and_emphasis(spark):
     assert one(spark, "[http://a.example/b the label] [http://a.example]", M.external_links) == "the label "
     assert one(spark, "[http://a.b http://c.d/e.png]", M.external_links) == ""
+    assert one(spark, "[http://a.b/é x] y", lambda c: M.external_links(c, True)) == '<a href="http%3A//a.b/%C3%A9">x</a> y'
     assert one(spark, "'''Bold''' and ''it'' and '''''both'''''", M.emphasis) == 'Bold and "it" and both'
 
 
@@ -165,6 +169,13 @@ def test_lexicon_enrich_brute_force(spark):
     r = EN.lexicon_enrich(s, lex).first()
     assert r["word_tokens"] == ["New_York", "city", "and", "york"]
     assert r["id_tokens"] == ["c2", "c4", "and", "c3"]
+    longer = lex.unionByName(spark.createDataFrame([("york city and york", "c5")], "surface string, concept_id string"))
+    assert EN.longest_surface(longer) == 4
+    again = EN.lexicon_enrich(spark.createDataFrame([(1, 0, 0, ["york", "city", "and", "york", "x"]), (2, 0, 0, [])], s.schema), longer)
+    got = {r["doc_id"]: r["id_tokens"] for r in again.collect()}
+    assert got == {1: ["c5", "x"], 2: []}
+    totals = {r["doc_id"]: (r["matches"], r["concepts"], r["is_total"]) for r in EN.enrichment_stats(EN.lexicon_enrich(s, lex)).collect()}
+    assert totals == {1: (3, 3, False), None: (3, 3, True)}
 
 
 def test_unicode_white_space_and_marks(spark):
@@ -182,6 +193,35 @@ def test_sentences_by_language(spark):
                    3: ["Hr .", "Meier kam ."], 4: ["La Sra . Paz vino .", "Fin ."], 5: ["Dr . X . left ."]}
 
 
+def test_control_characters_stay(spark):
+    text = "a\x01b\x02c\x03 {{x}} [[p|q]] d\x05"
+    assert one(spark, text, lambda c: M.internal_links(M.drop_templates(c))) == "a\x01b\x02c\x03  q d\x05"
+
+
+def test_nested_paths_agree(spark):
+    import random
+
+    rnd = random.Random(4)
+    texts = ["".join(rnd.choice(["{{", "}}", "x", "{", "}", " "]) for _ in range(rnd.randint(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", M.drop_templates("t").alias("a"), M.nested_fold(F.col("t"), r"\{\{", r"\}\}").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in rows)
+
+
+def test_clean_articles_flags(spark):
+    from wikisift.operators.articles import clean_articles
+
+    text = "== H ==\n* {{#if:x|[[P|item]]|no}}\nafter {{PAGENAME}} & [http://a.b l]\n"
+    df = spark.createDataFrame([(1, "T", text), (2, "U", None)], "page_num long, title string, text string")
+    run = lambda **k: {r["page_num"]: r["text"] for r in clean_articles(df, **k).collect()}
+    assert run()[1] == "after T & l"
+    assert run(lists=True)[1] == "H.\n- item\nafter T & l"
+    assert run(html=True)[1] == "<h2>H</h2>\n<ul>\n<li>item</li>\nafter T & l\n</ul>"
+    assert run(escape=True)[1] == "after T &amp; l"
+    assert run(links=True, sections=True)[1] == 'after T & <a href="http%3A//a.b">l</a>'
+    assert run(expand=False)[1] == "after & l"
+
+
 def test_case_and_int_rules(spark):
     assert one(spark, "straße ﬁx", lambda c: TF.pf_case("uc", F.array(c))) == "STRAßE ﬁX"
     assert one(spark, "ßa", lambda c: TF.pf_case("ucfirst", F.array(c))) == "ßa"

@@ -65,9 +65,12 @@ PLACEHOLDERS = [("math", "formula"), ("code", "codice")]
 # table the reference consults), not from a hand-written list.
 ENTITY_CODEPOINTS: dict[str, int] = dict(html.entities.name2codepoint)
 
-OPEN_MARK = "\u0002"
-CLOSE_MARK = "\u0003"
-SEP = "\u0001"
+# Marks set inside a text while it is worked on: noncharacters, which interchanged
+# text does not hold, so no character of the input is taken for one.
+OPEN_MARK = "\ufdd2"
+CLOSE_MARK = "\ufdd3"
+SEP = "\ufdd4"
+LINKED = "\ufdd5"  # where a nested link stood
 
 URL_CHAR = r"[^\]\[<>\"\x00-\x20\x7F\s]"
 ANCHOR_CHAR = r"[^\]\[\x00-\x08\x0a-\x1F]"
@@ -81,18 +84,32 @@ _IMAGE_LABEL = (
 EXT_IMAGE_LINK_RE = "(?i)\\[(" + _PROTO + URL_CHAR + "+)\\s*(" + _IMAGE_LABEL + ")\\]"
 
 
-def _when_contains(c: Column, probe_re: str, expr: Column) -> Column:
+def _pattern(p) -> Column:
+    return F.lit(p) if isinstance(p, str) else p
+
+
+def _when_contains(c: Column, probe_re, expr: Column) -> Column:
     """Apply ``expr`` only to rows where ``probe_re`` occurs (cheap guard)."""
-    return F.when(c.rlike(probe_re), expr).otherwise(c)
+    return F.when(F.regexp_like(c, _pattern(probe_re)), expr).otherwise(c)
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, though used often."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _marked(c: Column, open_re, close_re, opener: tuple, closer: tuple) -> Column:
+    """``c`` with text set before and behind every opener and closer."""
+    for pattern, (before, behind) in ((open_re, opener), (close_re, closer)):
+        c = F.regexp_replace(c, F.concat(F.lit("("), _pattern(pattern), F.lit(")")), F.lit(before + "$1" + behind))
+    return c
 
 
 # ---------------------------------------------------------------- nesting --
 def _mark(c: Column, open_re: str, close_re: str) -> Column:
     """Split ``c`` into tokens; opener tokens start with OPEN_MARK, closers
     with CLOSE_MARK, and keep their original text after the mark."""
-    m = F.regexp_replace(c, "(" + open_re + ")", SEP + OPEN_MARK + "$1" + SEP)
-    m = F.regexp_replace(m, "(" + close_re + ")", SEP + CLOSE_MARK + "$1" + SEP)
-    return F.split(m, SEP)
+    return F.split(_marked(c, open_re, close_re, (SEP + OPEN_MARK, SEP), (SEP + CLOSE_MARK, SEP)), SEP)
 
 
 def _append_top(stack: Column, s: Column) -> Column:
@@ -151,64 +168,35 @@ def nested_fold(c: Column, open_re: str, close_re: str, on_close=None) -> Column
 FAST_ROUNDS = 4
 
 
-def _drop_innermost_rounds(c: Column, open_re: str, close_re: str, rounds: int = FAST_ROUNDS) -> tuple[Column, Column]:
+def _drop_innermost_rounds(c: Column, open_re: str, close_re: str, rounds: int = FAST_ROUNDS) -> Column:
     """Mark delimiters, remove innermost pairs ``rounds`` times.
 
-    Returns (text with markers, flag "a pair is still left").  Plain regex
-    rounds stay inside generated code and are much cheaper than the fold;
-    the fold is only needed for rows nested deeper than ``rounds``.
+    Plain regex rounds stay inside generated code and are much cheaper than the
+    fold, which is only needed for rows nested deeper than ``rounds``.
     """
-    m = F.regexp_replace(c, "(" + open_re + ")", OPEN_MARK + "$1" + SEP)
-    m = F.regexp_replace(m, "(" + close_re + ")", SEP + "$1" + CLOSE_MARK)
+    m = _marked(c, open_re, close_re, (OPEN_MARK, SEP), (SEP, CLOSE_MARK))
     for _ in range(rounds):
         m = F.regexp_replace(m, OPEN_MARK + "[^" + OPEN_MARK + CLOSE_MARK + "]*" + CLOSE_MARK, "")
-    # A pair is left iff the first opener precedes the last closer.
+    return m
+
+
+def _pair_left(m: Column) -> Column:
+    """A pair is left iff the first opener precedes the last closer."""
     first_open = F.instr(m, OPEN_MARK)
     last_close = F.length(m) - F.instr(F.reverse(m), CLOSE_MARK) + 1
-    left = (first_open > 0) & (F.instr(m, CLOSE_MARK) > 0) & (first_open < last_close)
-    return m, left
+    return (first_open > 0) & (F.instr(m, CLOSE_MARK) > 0) & (first_open < last_close)
 
 
 def _strip_marks(m: Column) -> Column:
     return F.regexp_replace(m, "[" + SEP + OPEN_MARK + CLOSE_MARK + "]", "")
 
 
-def drop_nested(c, open_re: str, close_re: str, probe: str | None = None) -> Column:
-    """Drop nested open/close spans: regex rounds, exact fold for deeper rows."""
+def drop_nested(c, open_re, close_re, probe=None) -> Column:
+    """Drop nested open/close spans: regex rounds, exact fold for deeper rows.
+    Patterns are strings or columns."""
     c = col_of(c)
-    m, left = _drop_innermost_rounds(c, open_re, close_re)
-    exact = F.when(left, nested_fold(c, open_re, close_re)).otherwise(_strip_marks(m))
-    return _when_contains(c, probe or open_re, exact)
-
-
-class DfStep:
-    """A cleaning step that needs its own projections (see ``apply_steps``)."""
-
-    def __init__(self, fn, col_fn):
-        self.fn = fn
-        self.col_fn = col_fn
-
-    def __call__(self, df, col):
-        return self.fn(df, col)
-
-
-def nested_drop_step(open_re: str, close_re: str, probe: str | None = None) -> DfStep:
-    """Drop nested spans as two projections: the marked/reduced text is
-    materialised once, then either stripped of marks or, for rows nested
-    deeper than the regex rounds, folded exactly."""
-
-    def fn(df, col):
-        c = F.col(col)
-        m, _ = _drop_innermost_rounds(c, open_re, close_re)
-        df = df.withColumn("_nest_m", F.when(c.rlike(probe or open_re), m))
-        mc = F.col("_nest_m")
-        first_open = F.instr(mc, OPEN_MARK)
-        last_close = F.length(mc) - F.instr(F.reverse(mc), CLOSE_MARK) + 1
-        left = (first_open > 0) & (F.instr(mc, CLOSE_MARK) > 0) & (first_open < last_close)
-        out = F.when(mc.isNull(), c).when(left, nested_fold(c, open_re, close_re)).otherwise(_strip_marks(mc))
-        return df.withColumn(col, out).drop("_nest_m")
-
-    return DfStep(fn, lambda c: drop_nested(c, open_re, close_re, probe))
+    exact = _bound(_drop_innermost_rounds(c, open_re, close_re), lambda m: F.when(_pair_left(m), nested_fold(c, open_re, close_re)).otherwise(_strip_marks(m)))
+    return _when_contains(c, probe if probe is not None else open_re, exact)
 
 
 def drop_templates(c) -> Column:
@@ -221,8 +209,8 @@ def drop_tables(c) -> Column:
     return drop_nested(c, r"\{\|", r"\|\}")
 
 
-TEMPLATES_STEP = nested_drop_step(r"\{\{", r"\}\}")
-TABLES_STEP = nested_drop_step(r"\{\|", r"\|\}")
+TEMPLATES_STEP = drop_templates
+TABLES_STEP = drop_tables
 
 
 def drop_element(c, tag: str) -> Column:
@@ -232,16 +220,29 @@ def drop_element(c, tag: str) -> Column:
     return drop_nested(c, open_re, close_re, probe=r"(?i)<\s*" + tag + r"\b")
 
 
+def drop_elements(c, tags: list[str] | None = None) -> Column:
+    """The discarded elements, one after the other in the fixed order.
+
+    A loop over the tags inside the row (one expression, whatever their number);
+    only tags that occur are worked on, and rows without any cost one test.
+    """
+    tags = tags or DISCARD_ELEMENTS
+    c = col_of(c)
+
+    def drop(text, tag):
+        open_re = F.concat(F.lit(r"(?i)<\s*"), tag, F.lit(r"\b[^>/]*>"))
+        close_re = F.concat(F.lit(r"(?i)<\s*/\s*"), tag, F.lit(">"))
+        return drop_nested(text, open_re, close_re, probe=F.concat(F.lit(r"(?i)<\s*"), tag, F.lit(r"\b")))
+
+    return _when_contains(c, r"(?i)<\s*(?:" + "|".join(tags) + r")\b", F.aggregate(F.array(*map(F.lit, tags)), c, drop))
+
+
 def drop_elements_steps(tags: list[str] | None = None) -> list:
-    """One step per discarded element, in the reference's order."""
-    return [
-        nested_drop_step(r"(?i)<\s*" + t + r"\b[^>/]*>", r"(?i)<\s*/\s*" + t + ">", r"(?i)<\s*" + t + r"\b")
-        for t in (tags or DISCARD_ELEMENTS)
-    ]
+    return [lambda c: drop_elements(c, tags)]
 
 
 # ---------------------------------------------------------------- links --
-def link_survives(title: Column) -> Column:
+def link_survives(title: Column, namespaces: list[str] | None = None) -> Column:
     """P5: an internal link survives iff it has no namespace prefix, or the
     prefix (also after a leading ':') is an accepted namespace."""
     colon = F.instr(title, ":")
@@ -249,42 +250,64 @@ def link_survives(title: Column) -> Column:
     colon2 = F.locate(":", title, 2)
     middle = F.substring(title, 2, 1 << 30)
     middle = F.substring_index(middle, ":", 1)
-    accepted = F.array(*[F.lit(x) for x in ACCEPTED_NAMESPACES])
+    accepted = F.array(*[F.lit(x) for x in (ACCEPTED_NAMESPACES if namespaces is None else namespaces)])
     fails1 = (colon > 1) & ~F.array_contains(accepted, prefix)
     fails2 = (colon == 1) & (colon2 > 2) & ~F.array_contains(accepted, middle)
     return ~(fails1 | fails2)
 
 
-def _internal_link_text(inner: Column, keep_links: bool = False) -> Column:
+def url_quote(c: Column) -> Column:
+    """Percent-encoded UTF-8; letters, digits and ``_ . - /`` stay."""
+    e = F.url_encode(c)
+    for was, now in (("+", "%20"), ("%2F", "/"), ("*", "%2A")):
+        e = F.replace(e, F.lit(was), F.lit(now))
+    return e
+
+
+def _internal_link_text(inner: Column, keep_links: bool = False, namespaces: list[str] | None = None) -> Column:
+    """The text of a link whose nested links are resolved (and marked): the label
+    begins after the first pipe, or after the last one before a nested link."""
     has_pipe = F.instr(inner, "|") > 0
     title = F.when(has_pipe, F.regexp_replace(F.substring_index(inner, "|", 1), r"\s+$", "")).otherwise(inner)
-    label = F.when(has_pipe, pystrip(F.substring(inner, F.instr(inner, "|") + 1, 1 << 30))).otherwise(inner)
+    nested = F.instr(inner, LINKED) > 0
+    front = F.substring_index(inner, LINKED, 1)
+    after_last = F.concat(F.substring_index(front, "|", -1), F.substring(inner, F.length(front) + 1, 1 << 30))
+    after_first = F.substring(inner, F.instr(inner, "|") + 1, 1 << 30)
+    label = F.when(has_pipe, pystrip(F.when(nested & F.contains(front, F.lit("|")), after_last).otherwise(after_first))).otherwise(inner)
     if keep_links:
-        href = F.regexp_replace(F.regexp_replace(F.url_encode(title), r"\+", "%20"), "%2F", "/")
-        label = F.concat(F.lit('<a href="'), href, F.lit('">'), label, F.lit("</a>"))
-    return F.when(link_survives(title), label).otherwise(F.lit(""))
+        label = F.concat(F.lit('<a href="'), url_quote(F.replace(title, F.lit(LINKED), F.lit(""))), F.lit('">'), label, F.lit("</a>"))
+    return F.concat(F.lit(LINKED), F.when(link_survives(title, namespaces), label).otherwise(F.lit("")))
 
 
-def internal_links(c, keep_links: bool = False) -> Column:
+def internal_links(c, keep_links: bool = False, namespaces: list[str] | None = None) -> Column:
     """``[[title|label]]trail`` -> label (+ trail, which stays in place).
 
     Links are resolved innermost first; a link failing P5 becomes ''.
     """
     c = col_of(c)
-    return _when_contains(
-        c, r"\[\[", nested_fold(
-            c, r"\[\[", r"\]\]", on_close=lambda top: _internal_link_text(F.substring(top, 3, 1 << 30), keep_links)
-        )
-    )
+    folded = nested_fold(c, r"\[\[", r"\]\]", on_close=lambda top: _internal_link_text(F.substring(top, 3, 1 << 30), keep_links, namespaces))
+    return _when_contains(c, r"\[\[", F.replace(folded, F.lit(LINKED), F.lit("")))
 
 
 def external_links(c, keep_links: bool = False) -> Column:
-    """C3 (+C4 first): ``[url label]`` -> label; an image-URL label -> ''."""
+    """C3 (+C4 first): ``[url label]`` -> label; an image-URL label -> ''.
+
+    Kept links are anchors with the URL percent-encoded.
+    """
     c = col_of(c)
-    if keep_links:
-        img = F.regexp_replace(c, EXT_IMAGE_LINK_RE, '<a href="$1"><img src="$2" alt=""></a>')
-        return F.regexp_replace(img, EXT_LINK_RE, '<a href="$1">$2</a>')
-    return _when_contains(c, r"\[", F.regexp_replace(F.regexp_replace(c, EXT_IMAGE_LINK_RE, ""), EXT_LINK_RE, "$2"))
+    if not keep_links:
+        return _when_contains(c, r"\[", F.regexp_replace(F.regexp_replace(c, EXT_IMAGE_LINK_RE, ""), EXT_LINK_RE, "$2"))
+    both = EXT_LINK_RE
+    found = F.regexp_extract_all(c, F.lit(both), F.lit(0))
+    parts = F.split(c, both, -1)
+
+    def anchor(m):
+        url, label = F.regexp_extract(m, both, 1), F.regexp_extract(m, both, 2)
+        image = F.concat(F.lit('<img src="'), label, F.lit('" alt="">'))
+        return F.concat(F.lit('<a href="'), url_quote(url), F.lit('">'), F.when(m.rlike("^" + EXT_IMAGE_LINK_RE), image).otherwise(label), F.lit("</a>"))
+
+    joined = F.concat(F.element_at(parts, 1), F.array_join(F.transform(found, lambda m, i: F.concat(anchor(m), F.element_at(parts, i + 2))), ""))
+    return _when_contains(c, r"\[", joined)
 
 
 def external_images(c, keep_links: bool = False) -> Column:
@@ -452,8 +475,8 @@ def punct_space(c, literal_compat: bool = False) -> Column:
 
 
 def drop_punct_lines(c) -> Column:
-    """Lines holding only non-word characters (Unicode \\W)."""
-    return F.regexp_replace(col_of(c), r"(?U)\n\W+?\n", "\n")
+    """Lines holding no letter, digit or underscore."""
+    return F.regexp_replace(col_of(c), r"\n[^\p{L}\p{N}_]+?\n", "\n")
 
 
 def fix_commas(c) -> Column:
@@ -476,7 +499,7 @@ def apply_steps(df, col: str, steps: list):
     non-trivial expressions).
     """
     for st in steps:
-        df = st(df, col) if isinstance(st, DfStep) else df.withColumn(col, st(F.col(col)))
+        df = df.withColumn(col, st(F.col(col)))
     return df
 
 
@@ -486,6 +509,7 @@ def clean_steps(
     escape: bool = False,
     literal_compat: bool = False,
     templates_expanded: bool = False,
+    namespaces: list[str] | None = None,
 ) -> list:
     """C1-C20 + W6 in the reference's order (``clean``).
 
@@ -498,7 +522,7 @@ def clean_steps(
     steps += [
         TABLES_STEP,
         lambda c: external_links(c, keep_links),
-        lambda c: internal_links(c, keep_links),
+        lambda c: internal_links(c, keep_links, namespaces),
         behaviour_switches,
         syntaxhighlight_keep,
         lambda c: emphasis(c, html_mode),

@@ -17,12 +17,12 @@ from wikisift.session import table, text_table
 MARKUP_PREFIXES = [
     "'''Bold''' and ''it'' and '''''both'''''",
     "[[Page 3|label]]s [[Plain]] [[File:x.png|thumb|cap [[Page 4]]]]",
-    "[http://a.example/b the label] [http://a.example]",
+    "[http://a.example/b the label] [http://a.example] [http://a.example http://b.example/i.png]",
     "{{T10|a|k=v}} x {{T0|{{T20}}|k=v}} {{gone}} {{Template:T10|1}} {{subst:T20}}",
     "{| a {| b |} c |} __NOTOC__",
-    "== H1 ==\n=== H2 ===\n pre line\ntext\n== Empty ==\n== Last ==\nx",
+    "== H1 ==\n=== H2 ===\n pre line\ntext\n== Empty ==\n== Last ==\nx\n++Top++",
     "* one\n** two\n# three\n: indent\nafter list\n(paren)\n---\n|cell",
-    "<!-- c --><ref>r</ref><math>x</math><code>y</code><math>x</math><br/>a....b &amp;nbsp; <<q>>",
+    "<!-- c --><ref>r</ref><math>x</math><code>y</code><math>x</math><br/>a....b &amp;nbsp; <<q>>  two , three\t( four ) five,,six,. <br /> <ref name=\"z\"/> <syntaxhighlight lang=\"x\">kept</syntaxhighlight>",
 ]
 
 # Template bodies of the fixture, by doc_id % 30 (ns 10 rows).
@@ -66,7 +66,7 @@ def case_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """wikipages with the document's call case as a last line."""
     cases = F.array(*[F.lit(c[0]) for c in CALL_CASES])
     case = F.element_at(cases, (F.col("id") % len(CALL_CASES) + 1).cast("int"))
-    return wikipages(spark, sf_dir).select("page_num", "id", "title", F.concat("text", F.lit("\n"), case).alias("text"))
+    return wikipages(spark, sf_dir).select("page_num", "id", "title", "ns", F.concat("text", F.lit("\n"), case).alias("text"))
 
 
 def case_templates(spark: SparkSession) -> DataFrame:

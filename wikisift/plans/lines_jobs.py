@@ -248,7 +248,7 @@ def sql_clean_chain() -> list:
     steps += [lambda e, t=t: MJ.sql_drop_element(e, t) for t in M.DISCARD_ELEMENTS]
     steps += [MJ.sql_unescape]
     steps += [lambda e: MJ.sql_placeholder(e, "math", "formula"), lambda e: MJ.sql_placeholder(e, "code", "codice")]
-    steps += [MJ.sql_tail_cleanup, MJ.sql_fix_commas]
+    steps += [MJ.sql_tail_cleanup, MJ.sql_punct_lines, MJ.sql_fix_commas]
     return steps
 
 
@@ -273,21 +273,37 @@ WHERE w.ns NOT IN (10, 828)"""
 
 @register("clean_article", _clean_article_sql())
 def q_clean_article(spark, sf_dir):
-    """Whole-article cleaning (C1-C17, C19, W6) then the line pass.
-
-    C18 (Unicode \\W lines) has no RE2 equivalent; the oracle-checked job
-    runs every other step, ``clean_article_full`` adds it (rows-only)."""
-    pages = wikipages(spark, sf_dir)
-    from wikisift.operators.pages import filter_articles
-
-    pages = filter_articles(pages).select("page_num", "id", "title", "text")
-    steps = M.clean_steps()
-    steps[-1] = lambda c: M.fix_commas(M.punct_space(M.squeeze_dots(M.squeeze_space(M.guillemets(c)))))
-    cleaned = M.apply_steps(pages, "text", steps)
-    return cleaned.select("page_num", "id", "title", L.compact_text("text").alias("text"))
+    """R7 without templates: cleaning (C1-C19, W6), then the line pass."""
+    return clean_article_frame(spark, sf_dir)
 
 
-@register("clean_article_full")
+@register("clean_article_full", _clean_article_sql())
 def q_clean_article_full(spark, sf_dir):
-    """R7 with every step, C18 included (rows-only check)."""
+    """R7, every step (the same job; C18 was once left out of the other)."""
     return clean_article_frame(spark, sf_dir)
+
+
+def _clean_expanded_sql() -> str:
+    """Default mode: the expanded texts go through the same cleaning."""
+    from wikisift.plans.template_jobs import sql_expanded
+
+    expanded = sql_expanded().removeprefix("WITH ")
+    base = "SELECT e.page_num, e.text AS t FROM expanded e JOIN wikipages w ON e.page_num = w.page_num WHERE w.ns NOT IN (10, 828)"
+    chain = MJ.sql_chain(base, "page_num", sql_clean_chain()[1:], ctes=expanded)
+    head, final = chain.rsplit("\nSELECT ", 1)
+    return (head + ",\ncleaned AS (SELECT " + final + "),\n" + sql_lines_ctes("cleaned", "text") + """
+SELECT w.page_num, w.title, coalesce(k.text, '') AS text
+FROM wikipages w LEFT JOIN (SELECT page_num, string_agg(line, chr(10) ORDER BY pos) AS text FROM kept GROUP BY page_num) k
+  ON w.page_num = k.page_num
+WHERE w.ns NOT IN (10, 828)""")
+
+
+@register("clean_article_expanded", _clean_expanded_sql())
+def q_clean_article_expanded(spark, sf_dir):
+    """R7 in default mode: templates expanded (T3), cleaned, rendered."""
+    from wikisift.operators.articles import clean_articles
+    from wikisift.plans.template_jobs import KNOWN, expansion_inputs
+
+    pages, catalog, redirects = expansion_inputs(spark, sf_dir)
+    pages = pages.where("ns NOT IN (10, 828)").select("page_num", "title", "text")
+    return clean_articles(pages, catalog, redirects, known_namespaces=KNOWN).select("page_num", "title", "text")

@@ -142,6 +142,10 @@ def sql_tail_cleanup(expr: str) -> str:
     return e
 
 
+def sql_punct_lines(expr: str) -> str:
+    return f"regexp_replace({expr}, chr(10) || '[^\\p{{L}}\\p{{N}}_]+?' || chr(10), chr(10), 'g')"
+
+
 def sql_fix_commas(expr: str) -> str:
     return f"replace(replace({expr}, ',,', ','), ',.', '.')"
 
@@ -232,10 +236,7 @@ _pages_job("unescape_entities", M.unescape_entities, sql_unescape("t"))
 _pages_job("drop_spans", lambda c: M.drop_spans(c), sql_drop_spans("t"))
 
 
-@register("drop_punct_lines")
-def q_drop_punct_lines(spark, sf_dir):
-    """C18 (rows-only: Unicode \\W has no RE2 equivalent)."""
-    return M.apply_steps(_wp(spark, sf_dir), "text", [M.drop_punct_lines])
+_wp_job("drop_punct_lines", M.drop_punct_lines, sql_punct_lines(T))
 
 
 @register(

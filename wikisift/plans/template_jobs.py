@@ -384,9 +384,15 @@ def q_magic_word_values(spark, sf_dir):
     return w.select("id", v.alias("value"))
 
 
-def expanded(spark, sf_dir):
+def expansion_inputs(spark, sf_dir):
+    """(pages, catalog, redirects) of the expansion jobs."""
     t = templates(spark, sf_dir).unionByName(case_templates(spark))
-    return OT.expand_templates(case_pages(spark, sf_dir), OT.template_catalog(t), OT.redirects_of(t.withColumnRenamed("body", "text")), KNOWN)
+    return case_pages(spark, sf_dir), OT.template_catalog(t), OT.redirects_of(t.withColumnRenamed("body", "text"))
+
+
+def expanded(spark, sf_dir):
+    pages, catalog, redirects = expansion_inputs(spark, sf_dir)
+    return OT.expand_templates(pages, catalog, redirects, KNOWN)
 
 
 def sql_expanded() -> str:
