@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wikisift.session import cut_lineage
 
@@ -46,19 +47,28 @@ def dense_index(df: DataFrame, order_cols: list, name: str = "idx", num_partitio
 
 
 def running_sum(df: DataFrame, order_cols: list, value_col: str, name: str, num_partitions: int | None = None) -> DataFrame:
-    """Running total of ``value_col`` in ``order_cols`` order, distributed.
+    """``df`` plus the running total of ``value_col`` in ``order_cols`` order.
 
-    Same shape as :func:`dense_index`: per-partition running sums by a window
-    partitioned on the physical partition id (rows are already there, so no
-    extra data moves beyond the range shuffle), plus broadcast offsets from a
-    table with one row per partition.
+    One range shuffle; the sums inside a partition run over its sorted rows as
+    they lie, and a table of one row per partition gives the offsets.  Give it
+    narrow rows: all of ``df``'s columns move and are written once.
     """
+    import numpy as np
+    import pyarrow as pa
+
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    s = cut_lineage(s.withColumn("_pid", F.spark_partition_id()))
-    local_w = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    s = s.withColumn("_local", F.sum(value_col).over(local_w))
-    totals = s.groupBy("_pid").agg(F.sum(value_col).alias("_t"))
+    s = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols).withColumn("_pid", F.spark_partition_id())
+    at = s.columns.index(value_col)
+
+    def sums(batches):
+        total = 0
+        for b in batches:
+            run = total + np.cumsum(b.column(at).to_numpy(zero_copy_only=False).astype(np.int64))
+            total = int(run[-1]) if len(run) else total
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(run, pa.int64())], [*b.schema.names, "_local"])
+
+    s = cut_lineage(s.mapInArrow(sums, T.StructType([*s.schema.fields, T.StructField("_local", T.LongType())])))
+    totals = s.groupBy("_pid").agg(F.max("_local").alias("_t"))  # values are not negative
     offsets = totals.select(
         "_pid", F.sum("_t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)).alias("_off")
     ).fillna({"_off": 0})

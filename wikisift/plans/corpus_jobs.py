@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from wikisift.functions.text import ABBREVIATIONS
 from wikisift.operators import corpus as C
 from wikisift.plans.catalog import register
-from wikisift.session import table, text_table
+from wikisift.session import scratch_path, table, text_table
+from wikisift.sources import text as TX
 
 # --- shared oracle fragments (DuckDB) -------------------------------------
 # White space and word characters, spelled out for RE2.
@@ -124,8 +125,10 @@ def q_corpus(spark, sf_dir):
     "WITH " + SQL_SENTS + " SELECT array_to_string(tokens, ' ') AS line FROM toks",
 )
 def q_sink_sentences(spark, sf_dir):
-    """The sentence file's lines (the writer is ``sinks.write_sentences``)."""
-    return C.sentence_lines(C.corpus(docs(spark, sf_dir))).select("line")
+    """The sentence files, written and read back as lines."""
+    path = scratch_path(spark, "sentences")
+    TX.write_sentences(C.corpus(docs(spark, sf_dir)), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @register(
@@ -138,9 +141,10 @@ SELECT line, CASE WHEN trim(line) = '' THEN 0 ELSE len(string_split_regex(trim(l
 FROM lines""",
 )
 def q_load_sentences(spark, sf_dir):
-    """Sentence lines parsed back into token lists (round trip of S8)."""
-    lines = C.sentence_lines(C.corpus(docs(spark, sf_dir))).select("line")
-    return lines.select("line", F.size(C.parse_sentence_line("line")).cast("bigint").alias("n_tokens"))
+    """Written sentence files parsed back into token lists."""
+    path = scratch_path(spark, "sentences")
+    TX.write_sentences(C.corpus(docs(spark, sf_dir)), path)
+    return TX.read_sentences(spark, path).select("line", F.size("tokens").cast("bigint").alias("n_tokens"))
 
 
 @register(

@@ -153,30 +153,60 @@ def q_template_store(spark, sf_dir):
     return D.read_template_store(spark, path)
 
 
-@register(
-    "scan_text_tree",
-    WP
-    + f"""SELECT '<doc id="' || id || '" url="{BASE_URL}?curid=' || id || '" title="' || title || '">' AS value
-FROM wikipages""",
-)
-def q_scan_text_tree(spark, sf_dir):
-    """S7 then S3 (+O2): shard documents into a dir/file tree, read every
-    file back in path order, keep the <doc> header lines."""
+SQL_DOC = f"""'<doc id="' || id || '" url="{BASE_URL}?curid=' || id || '" title="' || title || '">' || chr(10)
+  || title || chr(10) || chr(10) || CASE WHEN text = '' THEN '' ELSE text || chr(10) END || chr(10) || '</doc>' || chr(10)"""
+SQL_FILES = WP + f"""SELECT doc, CAST(floor((sum(octet_length(encode(doc))) OVER (ORDER BY page_num) - 1) / 204800) AS BIGINT) AS file
+FROM (SELECT page_num, {SQL_DOC} AS doc FROM wikipages)"""
+
+
+def _text_tree(spark, sf_dir):
     p = wikipages(spark, sf_dir)
     docs = p.select("page_num", TX.format_doc("id", "title", "text", BASE_URL).alias("doc"))
     path = scratch_path(spark, "tree")
-    TX.write_sharded_text(docs, path, max_bytes=TX.MIN_FILE_BYTES)
-    tree = TX.read_text_tree(spark, path).orderBy("path")
-    return tree.where(F.startswith("value", F.lit("<doc "))).select("value")
+    TX.write_sharded_text(docs, path, max_bytes=TX.MIN_FILE_BYTES, compress=True)
+    tree = TX.read_text_tree(spark, path)
+    return tree.select("path", "value", F.regexp_extract("path", "dir=([A-Z]+)/", 1).alias("dir"), F.regexp_extract("path", "shard=(wiki_[0-9]+)/", 1).alias("shard"))
 
 
 @register(
-    "quarantine_failures",
-    WP + "SELECT id, title FROM wikipages WHERE text IS NULL",
+    "scan_text_tree",
+    f"SELECT chr(CAST(65 + file // 2600 AS INTEGER)) || chr(CAST(65 + file // 100 % 26 AS INTEGER)) AS dir, 'wiki_' || lpad(CAST(file % 100 AS VARCHAR), 2, '0') AS shard, "
+    f"unnest(string_split(doc, chr(10))) AS value FROM ({SQL_FILES})",
 )
+def q_scan_text_tree(spark, sf_dir):
+    """S7 then S3: documents sharded into a bzip2 dir/file tree, every line of every
+    file read back with its place."""
+    return _text_tree(spark, sf_dir).select("dir", "shard", "value")
+
+
+@register("order_by_path", f"SELECT CAST(dense_rank() OVER (ORDER BY file) - 1 AS BIGINT) AS place, count(*) AS docs FROM ({SQL_FILES}) GROUP BY file")
+def q_order_by_path(spark, sf_dir):
+    """O2: the files in path order, numbered, with their documents counted."""
+    from wikisift.operators.ordering import dense_index
+
+    files = _text_tree(spark, sf_dir).where(F.startswith("value", F.lit("<doc "))).groupBy("path").agg(F.count(F.lit(1)).alias("docs"))
+    return dense_index(files, ["path"], "place").select("place", "docs")
+
+
+def _broken_dump(spark, sf_dir) -> str:
+    """The pages as hand-made XML; of every fifty, one page has a text element that
+    never closes and one page lacks its end."""
+    esc = lambda c: F.replace(F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    head = F.concat(F.lit("<page>\n  <title>"), esc("title"), F.lit("</title>\n  <ns>"), F.col("ns").cast("string"), F.lit("</ns>\n  <id>"), F.col("id").cast("string"),
+                    F.lit('</id>\n  <revision><id>1</id><text bytes="1" xml:space="preserve">'), esc("text"))
+    tail = F.when(F.col("id") % 50 == 7, "</revision>\n</page>").when(F.col("id") % 50 == 13, "\n").otherwise("</text></revision>\n</page>")
+    path = scratch_path(spark, "broken")
+    wikipages(spark, sf_dir).sort("page_num").select(F.concat(head, tail).alias("value")).write.text(path)
+    return path
+
+
+@register("scan_broken_dump", WP + "SELECT id, title, ns, text FROM wikipages WHERE id % 50 NOT IN (7, 13)")
+def q_scan_broken_dump(spark, sf_dir):
+    """S1 on a dump with broken pages: all others come through whole."""
+    return D.read_dump(spark, _broken_dump(spark, sf_dir)).select("id", "title", "ns", "text")
+
+
+@register("quarantine_failures", WP + "SELECT id, title FROM wikipages WHERE id % 50 IN (7, 13)")
 def q_quarantine_failures(spark, sf_dir):
-    """Pages whose text could not be read (error side table)."""
-    path = scratch_path(spark, "dumpq")
-    D.write_dump(wikipages(spark, sf_dir), path)
-    raw = D._xml(spark, "page", D.PAGE_SCHEMA + ", _corrupt_record string").load(path)
-    return raw.where(F.col("revision.text").isNull() & F.col("_corrupt_record").isNotNull()).select("id", "title")
+    """The pages that could not be parsed (error side table)."""
+    return D.read_dump_failures(spark, _broken_dump(spark, sf_dir)).select("id", "title")
