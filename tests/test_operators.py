@@ -193,6 +193,17 @@ def test_sentences_by_language(spark):
                    3: ["Hr .", "Meier kam ."], 4: ["La Sra . Paz vino .", "Fin ."], 5: ["Dr . X . left ."]}
 
 
+def test_fixture_has_input_for_every_step(spark):
+    """Each cleaning step changes some row of the fixture, so that its check bites."""
+    from wikisift.plans.fixtures import wikipages
+
+    steps = [M.drop_templates, M.drop_tables, M.external_images, M.external_links, M.internal_links, M.behaviour_switches, M.syntaxhighlight_keep, M.emphasis, M.drop_comments,
+             M.drop_selfclosing, M.drop_elements, M.unescape_entities, M.guillemets, M.squeeze_space, M.squeeze_dots, M.punct_space, M.drop_punct_lines, M.fix_commas, M.escape_doc]
+    pages = wikipages(spark, "/root/testdata/sf0.001")
+    row = pages.select(*[F.sum((f(F.col("text")) != F.col("text")).cast("int")).alias(f.__name__) for f in steps]).first()
+    assert {k: v for k, v in row.asDict().items() if not v} == {}
+
+
 def test_control_characters_stay(spark):
     text = "a\x01b\x02c\x03 {{x}} [[p|q]] d\x05"
     assert one(spark, text, lambda c: M.internal_links(M.drop_templates(c))) == "a\x01b\x02c\x03  q d\x05"

@@ -209,10 +209,10 @@ _wp_job("fix_commas", M.fix_commas, sql_fix_commas(T))
 _wp_job("escape_doc", M.escape_doc, sql_escape(T))
 
 _pages_job("drop_comments", M.drop_comments, sql_rr("t", r"(?s)<!--.*?-->", ""))
-_pages_job(
+_wp_job(
     "drop_selfclosing",
     M.drop_selfclosing,
-    sql_rr("t", r"(?is)<\s*(?:" + "|".join(M.SELF_CLOSING_TAGS) + r")\b[^>]*/\s*>", ""),
+    sql_rr(T, r"(?is)<\s*(?:" + "|".join(M.SELF_CLOSING_TAGS) + r")\b[^>]*/\s*>", ""),
 )
 _pages_job(
     "drop_ignored_tags",

@@ -144,13 +144,11 @@ def q_pf_dispatch(spark, sf_dir):
 # ------------------------------------------------------------ titles etc. --
 @register(
     "ucfirst",
-    "WITH " + sql_wikipages() + " SELECT id, upper(left(text, 1)) || substr(text, 2) AS up, "
-    "lower(left(text, 1)) || substr(text, 2) AS low FROM (SELECT id, split_part(split_part(text, chr(10), 1), ' ', 1) AS text FROM wikipages)",
+    "SELECT doc_id, upper(left(text, 1)) || substr(text, 2) AS up, lower(left(text, 1)) || substr(text, 2) AS low FROM documents",
 )
 def q_ucfirst(spark, sf_dir):
-    """Ucfirst / lcfirst of each page's first word."""
-    w = wikipages(spark, sf_dir).select("id", F.split("text", " ")[0].alias("text"))
-    return w.select("id", ucfirst("text").alias("up"), lcfirst("text").alias("low"))
+    """Ucfirst / lcfirst of each whole text."""
+    return text_table(spark, sf_dir, "documents", "doc_id").select("doc_id", ucfirst("text").alias("up"), lcfirst("text").alias("low"))
 
 
 @register(
@@ -338,22 +336,13 @@ def q_known_namespace_match(spark, sf_dir):
 
 @register(
     "call_params_map",
-    WPT + SQL_CALLS + r""" SELECT page_num, pos, coalesce(p1, '') AS p1, coalesce(pk, '') AS pk FROM (
-  SELECT page_num, pos,
-    CASE WHEN len(string_split(inner_text, '|')) >= 2 AND NOT regexp_matches(string_split(inner_text, '|')[2], '(?s)^ *([^= ]*?) *=')
-      THEN regexp_replace(string_split(inner_text, '|')[2], '^\s+|\s+$', '', 'g') END AS p1,
-    list_filter(list_transform(list_filter(string_split(inner_text, '|')[2:], lambda x: regexp_matches(x, '(?s)^ *k *=')),
-      lambda x: regexp_replace(regexp_extract(x, '(?s)^ *k *=(.*)$', 1), '^\s+|\s+$', '', 'g')), lambda y: true)[-1] AS pk
-  FROM calls)""",
+    WPT + SQL_CALLS + """ SELECT page_num, pos, CASE pos WHEN 0 THEN '1=a|k=v' WHEN 1 THEN '1={{T20}}|k=v' WHEN 4 THEN '1=1' ELSE '' END AS params FROM calls""",
 )
 def q_call_params_map(spark, sf_dir):
-    """Parameters '1' and 'k' of each call's map."""
-    c = calls(spark, sf_dir)
+    """The whole parameter map of each call."""
     m = TF.call_params_map(F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0))))
-    return c.select(
-        "page_num", "pos", F.coalesce(F.element_at(m, F.lit("1")), F.lit("")).alias("p1"),
-        F.coalesce(F.element_at(m, F.lit("k")), F.lit("")).alias("pk"),
-    )
+    pairs = F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return calls(spark, sf_dir).select("page_num", "pos", F.array_join(pairs, "|").alias("params"))
 
 
 @register(
@@ -369,19 +358,14 @@ def q_template_args(spark, sf_dir):
 
 @register(
     "magic_word_values",
-    "WITH " + sql_wikipages() + """ SELECT id, title || '|' || '2000' || '|' || '01' AS value FROM wikipages""",
+    "WITH " + sql_wikipages() + """ SELECT id, '|;' || title || ';' || title || ';2000;01;02;03;03:04:05;none' AS value FROM wikipages""",
 )
 def q_magic_word_values(spark, sf_dir):
-    """P10: pagename, currentyear, currentmonth for every page (fixed as_of)."""
-    w = wikipages(spark, sf_dir)
+    """P10: every magic word for every page (fixed as_of)."""
     as_of = F.lit("2000-01-02 03:04:05").cast("timestamp")
-    v = F.concat_ws(
-        "|",
-        TF.magic_words(F.lit("PAGENAME"), F.col("title"), as_of),
-        TF.magic_words(F.lit("CurrentYear"), F.col("title"), as_of),
-        TF.magic_words(F.lit("currentmonth"), F.col("title"), as_of),
-    )
-    return w.select("id", v.alias("value"))
+    words = ["!", "PAGENAME", "FullPageName", "CurrentYear", "currentmonth", "CURRENTDAY", "currenthour", "currenttime", "nosuchword"]
+    values = [F.coalesce(TF.magic_words(F.lit(w), F.col("title"), as_of), F.lit("none")) for w in words]
+    return wikipages(spark, sf_dir).select("id", F.concat_ws(";", *values).alias("value"))
 
 
 def expansion_inputs(spark, sf_dir):

@@ -87,7 +87,8 @@ def spread(df: DataFrame, key: str | None = None, factor: int = 2) -> DataFrame:
     has far more splits than cores and the frame is returned unchanged.
     """
     target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= target:
+    # the scan's own plan; df.rdd would add a conversion of every row
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= target:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
 
