@@ -26,6 +26,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def escape(text: str) -> str:
 
 
 def unescape(text: str) -> str:
-    return _BACK.sub(lambda m: CONTROL[CODES.index(m[1])], text)
+    return text if ESCAPE not in text else _BACK.sub(lambda m: CONTROL[CODES.index(m[1])], text)
 
 
 def turn_ids(role: str, text: str, enc) -> list[np.ndarray]:
@@ -113,7 +114,7 @@ def read_turns(ids: np.ndarray, loss: np.ndarray, enc) -> tuple[list[tuple[str,
         else:
             turns += [(name, unescape(text)) for name, (first, _) in OPEN.items() if k == first]
     shown += [MARKERS[int(ids[z]) - enc.size] for z in cuts[-1:].tolist()]
-    return turns, "".join(shown), unescape(enc.text(ids[loss]))
+    return turns, "".join(shown), unescape(enc.text(ids[loss])) if loss.any() else ""
 
 
 _READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
@@ -128,12 +129,14 @@ def _read_back(batches):
     now, state = None, None
     for b in batches:
         done = []
-        for conv, ids, loss in zip(*(b.column(k).to_pylist() for k in range(3))):
+        ids, loss = b.column(1).flatten().to_numpy(), b.column(2).flatten().to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.list_value_length(b.column(1)).to_numpy())
+        for conv, a, z in zip(b.column(0).to_pylist(), [0, *ends[:-1].tolist()], ends.tolist()):
             if state is None or conv != now:
                 if state is not None:
                     done.append(close(now, state))
                 now, state = conv, [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            turns, shown, masked = read_turns(np.array(ids, np.int64), np.array(loss, bool), enc)
+            turns, shown, masked = read_turns(ids[a:z], loss[a:z], enc)
             for role, text in turns:
                 state[1].update(f"{role}\n{text}\n".encode())
             state[0] += len(turns)

@@ -44,7 +44,7 @@ class Encoder:
         return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def text(self, ids) -> str:
-        return self.fast.decode_bytes(list(map(int, ids))).decode("utf-8")
+        return self.fast.decode_bytes(ids.tolist() if isinstance(ids, np.ndarray) else list(map(int, ids))).decode("utf-8")
 
 
 @lru_cache(maxsize=2)
