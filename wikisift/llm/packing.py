@@ -7,9 +7,9 @@ the key, and the ids of all documents, laid end to end along the curve, are cut
 every ``LENGTH`` ids.  The end of the corpus, shorter than a sequence, is cut at
 the powers of two of its binary form, so no sequence holds padding.
 
-The ids are computed once and written; key ranges and token offsets come from
-the narrow columns of that table (one number per range reaches the driver), and
-one shuffle by range brings the ids into order.  Equal documents share a curve
+The ids are computed once and written; key ranges of even tokens and their offsets
+come from the narrow columns of that table (a bounded list of sums reaches the
+driver), and one shuffle by range brings the ids into order.  Equal documents share a curve
 point, so the key's lower bits are a hash of doc_id and ids: copies spread over
 ranges instead of filling one.
 
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wikisift.llm.common import bounded_batches, scratch
 from wikisift.llm.tokens import encoder
@@ -35,8 +36,9 @@ LENGTH = 2048
 CLOSING_ID = 1
 #: Buckets of the hashed count vector, dimensions and bits a dimension.
 HASHED, DIMS, BITS = 1024, 3, 10
-#: Tokens that one range (a task's share of the sorted stream) should hold.
-RANGE_TOKENS = 4_000_000
+#: Tokens that one range (a task's share of the sorted stream) should hold; ranges at
+#: most (beyond, each holds more), and small ranges they are merged from.
+RANGE_TOKENS, MAX_RANGES, FINE = 4_000_000, 20_000, 8
 
 
 @lru_cache(maxsize=1)
@@ -162,6 +164,34 @@ def _cut(firsts: dict[int, int], total: int, length: int, wide: bool, with_ids:
     return run
 
 
+def _bucket(bounds: np.ndarray):
+    def bucket(curve: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(bounds, curve.to_numpy(zero_copy_only=False), side="left"), pa.int32())
+
+    return F.arrow_udf(bucket, T.IntegerType())
+
+
+def _ranges(rows: DataFrame, total: int, ranges: int) -> tuple[np.ndarray, dict[int, int]]:
+    """Inner bounds of key ranges of about equal tokens, and the first token of each.
+
+    Quantiles of the key give ``FINE`` times as many small ranges; their token
+    sums (a number each, at most FINE x MAX_RANGES) are merged to even ones.
+    """
+    if ranges == 1:
+        return np.zeros(0, np.int64), {0: 0}
+    n = FINE * ranges
+    fine = np.array(sorted(set(rows.agg(F.percentile_approx("curve", [k / n for k in range(1, n)], 20 * n)).first()[0])), np.int64)
+    sums = {r["b"]: r["n"] for r in rows.groupBy(_bucket(fine)("curve").alias("b")).agg(F.sum("n").alias("n")).collect()}
+    bounds, firsts, at, last = [], {0: 0}, 0, 0
+    for k in range(len(fine) + 1):
+        if at * ranges // total > last:
+            last = at * ranges // total
+            bounds.append(fine[k - 1])
+            firsts[len(bounds)] = at
+        at += sums.get(k, 0)
+    return np.array(bounds, np.int64), firsts
+
+
 def pack(docs: DataFrame, length: int = LENGTH, range_tokens: int = RANGE_TOKENS, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset; ``with_ids`` adds the ids (little-endian 32-bit)."""
@@ -172,18 +202,8 @@ def pack(docs: DataFrame, length: int = LENGTH, range_tokens: int = RANGE_TOKENS
     docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_encode, schema).write.option("compression", "zstd").parquet(path)
     rows = spark.read.schema(schema).parquet(path)
     total = rows.agg(F.sum("n")).first()[0] or 0
-    ranges = max(1, -(-total // range_tokens))
-    shares = [k / ranges for k in range(1, ranges)]
-    bounds = np.array(sorted(set(rows.agg(F.percentile_approx("curve", shares, max(10_000, 20 * ranges))).first()[0] or [])) if shares else [], np.int64)
-
-    @F.arrow_udf("int")
-    def range_of(curve: pa.Array) -> pa.Array:
-        return pa.array(np.searchsorted(bounds, curve.to_numpy(zero_copy_only=False), side="left"), pa.int32())
-
-    dealt = rows.withColumn("part", range_of("curve"))
-    firsts, at = {}, 0
-    for r in sorted(dealt.groupBy("part").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["part"]):  # a row per range
-        firsts[r["part"]], at = at, at + r["n"]
+    bounds, firsts = _ranges(rows, total, min(MAX_RANGES, max(1, -(-total // range_tokens))))
+    dealt = rows.withColumn("part", _bucket(bounds)("curve"))
     placed = dealt.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "curve", "doc_id", "n", "ids")
     out = _PIECES + (", ids binary" if with_ids else "")
     return placed.select("part", "doc_id", "n", "ids").mapInArrow(_cut(firsts, total, length, encoder().size > 1 << 16, with_ids), out)
