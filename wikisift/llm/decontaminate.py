@@ -43,7 +43,7 @@ K1, B = 1.2, 0.75
 #: Share of an item's own score that makes a passage a candidate.
 THRESHOLD = 0.5
 #: Word n-grams of question and answer, and the share of each to be found.
-NGRAM, OVERLAP = 3, 0.5
+NGRAM, OVERLAP = 3, 0.3
 #: Words of the shortest length class, and the factor from class to class.
 CLASS_WORDS, CLASS_FACTOR = 64, 4
 SHARD_POSTINGS = 200_000
