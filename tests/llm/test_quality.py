@@ -116,6 +116,14 @@ def test_one_class_and_no_labels(spark, edge, empty):
     assert qm.classify(empty, labels).count() == 0
 
 
+def test_sample_is_bounded_and_takes_the_smallest_hashes(spark):
+    features = spark.range(5000).selectExpr("id AS doc_id", "array(CAST(id AS float)) AS x")
+    labels = spark.range(5000).selectExpr("id AS doc_id", "CAST(id % 2 AS int) AS quality", "0 AS toxic")
+    whole = [r["x"] for r in qm.training_rows(features, labels, 10_000).collect()]
+    assert len(whole) == sum(zlib.crc32(str(k).encode()) % 4 != 2 for k in range(5000))
+    assert [r["x"] for r in qm.training_rows(features, labels, 200).collect()] == whole[:200]
+
+
 def test_classifier(spark, rng, clash):
     rows, junk = corpus(rng)
     df = spark.createDataFrame(rows, DOCS)

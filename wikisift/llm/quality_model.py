@@ -179,10 +179,18 @@ def held_out(doc_id) -> F.Column:
 
 
 def training_rows(features: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """(x, quality) of at most ``max_rows`` labelled rows that are not held out."""
+    """(x, quality) of at most ``max_rows`` labelled rows that are not held out:
+    those with the smallest hashes of doc_id.
+
+    A first cut by the hash leaves little more than ``max_rows`` rows, so the final
+    order and limit work on a bounded set, however many rows are labelled.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where("quality IS NOT NULL")
-    known = known.where(~held_out(F.col("doc_id")))
-    return (features.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "x").limit(max_rows).select("x", "quality"))
+    rows = features.join(known.where(~held_out(F.col("doc_id"))), "doc_id").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)))
+    total = rows.count()
+    if total > max_rows:
+        rows = rows.where(F.col("place") < int((1 << 30) * (1.1 * max_rows + 100) / total))
+    return rows.orderBy("place", "doc_id", "quality", "x").limit(max_rows).select("x", "quality")
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
