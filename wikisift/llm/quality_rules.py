@@ -112,7 +112,9 @@ def _stats_array(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in cols], fields=[pa.field(c, pa.int64(), False) for c in STATS])
 
 
-stats_udf = F.arrow_udf(_stats_array, STATS_TYPE)
+# non-deterministic to the optimizer, so that a filter on the statistics is not
+# moved below them with a second copy of the function
+stats_udf = F.arrow_udf(_stats_array, STATS_TYPE).asNondeterministic()
 
 
 def features() -> dict[str, Column]:
