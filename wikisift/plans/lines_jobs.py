@@ -207,6 +207,27 @@ def q_headers_html(spark, sf_dir):
     return ln.select("page_num", "pos", L.header_html("line").alias("line"))
 
 
+def _sql_all_html() -> str:
+    """The default result with the rows that HTML mode adds: headers, list tags
+    and items, and the tags that close a list behind the line that ends it."""
+    return WITH_LINES + """, extra AS (
+  SELECT page_num, pos, sub, line FROM (SELECT page_num, id FROM wikipages) AS w,
+  (VALUES (5, 0, 0, '<h2>H1</h2>'), (5, 1, 0, '<h3>H2</h3>'), (5, 4, 0, '<h2>Empty</h2>'), (5, 5, 0, '<h2>Last</h2>'),
+    (6, 0, 0, '<ul>'), (6, 0, 1, '<li>one</li>'), (6, 1, 0, '<ul>'), (6, 1, 1, '<li>two</li>'), (6, 2, 0, '</ul>'), (6, 2, 1, '<ol>'), (6, 2, 2, '</ul>'),
+    (6, 2, 3, '<li>three</<li>'), (6, 4, 1, '</ol>')) AS v(r, pos, sub, line)
+  WHERE id % 8 = r
+)
+SELECT page_num, pos, 0 AS sub, line FROM kept UNION ALL SELECT * FROM extra"""
+
+
+@register("clean_lines_html", _sql_all_html())
+def q_clean_lines_html(spark, sf_dir):
+    """R6 in HTML mode (R4, R5): every rendered line of every page.
+
+    ``list_items_html`` is the part of it that its SQL was worked out for."""
+    return L.render_lines(_lines(spark, sf_dir), html=True)
+
+
 def _sql_all_flags() -> str:
     """The default result with the lines that the flags add: section titles and
     list items; a section opened by an item keeps no further line."""
