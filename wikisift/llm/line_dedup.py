@@ -6,14 +6,19 @@ The seen line keys live in *runs*: tables bucketed and sorted by the key's
 1. reduces its (document, key) rows to one row per key, the smallest holder;
 2. merge-anti-joins that with the runs: keys found there belong to an earlier
    document, the others to their smallest holder in the batch;
-3. notes every (document, key) that is not the holder, to be dropped;
+3. notes every (document, key) that is not the holder, to be dropped, with
+   the row that it stands in;
 4. writes its new keys as a level-0 run.  ``FANOUT`` runs of a level are
    merged into one run of the next level, so the number of runs stays
    logarithmic in the number of batches.
 
 Runs share their bucketing, so the merge joins and compactions move no run
 row.  A key in a third of all documents is reduced map-side in step 1; in step
-3 it is a skewed join side, which AQE splits.
+3 it is a skewed join side, which AQE splits.  Dropped hashes are gathered per
+row (doc_id and a hash of the text), not per document, so that an array is
+bounded by one row's own lines though a third of the rows share one doc_id or
+have none.  Rows of equal doc_id and text share an array; so would two texts of
+equal hash, which changes no result, as drops are decided by document.
 
 Defined results: null or empty text = one empty line; null doc_id = one
 document that comes after all others; rows that repeat a doc_id count as one
@@ -28,7 +33,7 @@ import uuid
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,20 +56,29 @@ def line_hash(line: bytes) -> bytes | None:
     return xxhash.xxh3_128_digest(key)
 
 
+_LINES = "doc long, body long, h binary"
+
+
+def _row_key() -> list[Column]:
+    """doc (null doc_id is NULL_ID) and body, a hash of the text."""
+    return [F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(F.col("text").cast("string")).alias("body")]
+
+
 def _hash_rows(batches):
     for b in batches:
-        ids, keys = [], []
-        for i, raw in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+        ids, bodies, keys = [], [], []
+        for i, body, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
             found = {h for x in (raw or b"").split(b"\n") if (h := line_hash(x))}
             ids += [i] * len(found)
+            bodies += [body] * len(found)
             keys += found
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["doc", "h"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bodies, pa.int64()), pa.array(keys, pa.binary())], ["doc", "body", "h"])
 
 
 def document_lines(docs: DataFrame) -> DataFrame:
-    """(doc, h): the different line keys of each row; null doc_id is NULL_ID."""
+    """(doc, body, h): the different line keys of each row."""
     bounded_batches(docs.sparkSession)
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.col("text").cast("string")).mapInArrow(_hash_rows, "doc long, h binary")
+    return docs.select(*_row_key(), F.col("text").cast("string")).mapInArrow(_hash_rows, _LINES)
 
 
 class Runs:
@@ -116,9 +130,9 @@ class Runs:
 
 
 def add_batch(runs: Runs, lines: DataFrame, out: str) -> None:
-    """Decide one batch against the runs; append its (doc, h) drops to ``out``.
+    """Decide one batch against the runs; append its (doc, body, h) drops to ``out``.
 
-    ``lines`` (doc, h) must hold no document smaller than an earlier batch's.
+    ``lines`` (doc, body, h) must hold no document smaller than an earlier batch's.
     """
     spark = lines.sparkSession
     holder = lines.groupBy("h").agg(F.min("doc").alias("holder"), F.max("doc").alias("last"))
@@ -128,22 +142,22 @@ def add_batch(runs: Runs, lines: DataFrame, out: str) -> None:
     # a key with one new holder drops nothing; every other key of the batch
     # drops all its documents but a new key's holder
     kept = new.select("h", "holder", (F.col("last") == F.col("holder")).alias("single"))
-    drops = lines.join(kept, "h", "left").where("holder IS NULL OR (NOT single AND doc <> holder)").select("doc", "h")
+    drops = lines.join(kept, "h", "left").where("holder IS NULL OR (NOT single AND doc <> holder)").select("doc", "body", "h")
     drops.write.mode("append").parquet(out)
     runs.add(new)
     drop_scratch(spark, path)
 
 
 def line_drops(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """(doc, dropped): per document the hashes of the lines it loses."""
+    """(doc, body, dropped): per row the hashes of the lines it loses."""
     spark = docs.sparkSession
     root = scratch(spark, "lines")
     document_lines(docs).write.parquet(f"{root}/lines")
-    lines = spark.read.schema("doc long, h binary").parquet(f"{root}/lines")
+    lines = spark.read.schema(_LINES).parquet(f"{root}/lines")
     cuts = sorted({c for c in lines.agg(F.percentile_approx("doc", [k / batches for k in range(1, batches)], 10_000).alias("c")).first()["c"] or []})
     edges = [None, *cuts, None]
     runs = Runs(spark, root, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), fanout=fanout)
-    spark.createDataFrame([], "doc long, h binary").write.parquet(f"{root}/drops")
+    spark.createDataFrame([], _LINES).write.parquet(f"{root}/drops")
     for low, high in zip(edges, edges[1:]):
         batch = lines
         if low is not None:
@@ -153,9 +167,9 @@ def line_drops(docs: DataFrame, batches: int = BATCHES, fanout: int = FANOUT) ->
         add_batch(runs, batch, f"{root}/drops")
     runs.close()
     drop_scratch(spark, f"{root}/lines")
-    drops = spark.read.schema("doc long, h binary").parquet(f"{root}/drops")
-    # bounded by the document's own lines
-    return drops.groupBy("doc").agg(F.collect_list("h").alias("dropped"))
+    drops = spark.read.schema(_LINES).parquet(f"{root}/drops")
+    # a set, as rows of equal doc_id and text repeat their hashes
+    return drops.groupBy("doc", "body").agg(F.collect_set("h").alias("dropped"))
 
 
 _RESULT = T.StructType([T.StructField("n_lines", T.LongType(), False), T.StructField("n_dropped", T.LongType(), False),
@@ -183,9 +197,8 @@ def _strip(texts: pa.Array, dropped: pa.Array) -> pa.Array:
 def _with_drops(docs: DataFrame, columns: list[str], batches: int, fanout: int) -> DataFrame:
     """(row, n_lines, n_dropped, kept_sha256, kept_text), row = ``columns``."""
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.struct(*(F.col(c) for c in columns)).alias("row"), F.col("text").cast("string").alias("text"),
-                       F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"))
-    both = rows.join(line_drops(docs, batches, fanout), "doc", "left")
+    rows = docs.select(F.struct(*(F.col(c) for c in columns)).alias("row"), F.col("text").cast("string").alias("text"), *_row_key())
+    both = rows.join(line_drops(docs, batches, fanout), ["doc", "body"], "left")
     return both.select("row", _strip("text", "dropped").alias("s")).select("row", "s.*")
 
 
