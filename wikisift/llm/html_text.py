@@ -8,7 +8,10 @@ are content lines.  The content region is the smallest container that holds
 nearly all of their text (an article or main element if there is one); every line of the region
 belongs to the result, however short.  Elements whose tag, role or class says
 menu, header, footer, sidebar, notice, advert, form, script, style or comments
-are left out wherever they stand.
+are left out wherever they stand.  Inside an article or main element a class or
+id counts on block containers only, and from a shorter list, so that neither its
+header nor words of its sentences and code go; elsewhere none counts on inline
+elements of a paragraph, a heading or code.
 
 Defined results: null or empty html, or a page without content = empty
 text; broken markup closes what it must (an end tag without a start is ignored,
@@ -47,6 +50,18 @@ SKIP_NAMES = frozenset(
 )
 #: The names that count on an article element itself (it may well be "with-sidebar").
 SKIP_ARTICLES = frozenset("ad ads advert advertisement comment comments promo related reply sponsored teaser".split())
+#: The names that count inside an article or main element, and on what: as the
+#: first or last word of a class name, or as the whole id (headings make ids too).
+SKIP_INSIDE = frozenset(
+    "ad adbox ads adsense adslot advert advertisement advertising adverts breadcrumb breadcrumbs comments cookie cookies disqus gdpr menu nav navbar "
+    "newsletter pager pagination popup promo related respond share sharing sidebar signup skyscraper sponsored subscribe teaser".split()
+)
+INSIDE_BLOCKS = frozenset("div section aside ul".split())
+#: First words of class names that only say what else the page has; a layout
+#: also ends in "sidebar".
+LAYOUT = frozenset("with without has no".split())
+#: Elements whose inline parts are words of their text.
+PROSE = frozenset("p pre code h1 h2 h3 h4 h5 h6".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu form".split())
 CONTAINERS = frozenset("html body main article section div center table tbody tr td".split())
 WHOLE = frozenset(("article", "main"))
@@ -60,6 +75,15 @@ def _names(value: str) -> list[str]:
     return "".join(c if c.isalnum() else " " for c in value).lower().split()
 
 
+def _names_inside(value: str) -> bool:
+    """Whether a class attribute inside an article says that it is not the article."""
+    for name in value.split():
+        w = _names(name)
+        if w and (w[0] in SKIP_INSIDE or w[-1] in SKIP_INSIDE and w[-1] != "sidebar" and w[0] not in LAYOUT):
+            return True
+    return False
+
+
 class Lines(HTMLParser):
     """Collects (text, tags, skipped, path) of the blocks of a page."""
 
@@ -79,14 +103,20 @@ class Lines(HTMLParser):
                 self.lines.append((text, self.tags, tuple(n for _, n, _, _ in self.open)))
                 self.tags = 0
 
+    def _named(self, tag, key, value, inside) -> bool:
+        if tag == "article":
+            return not SKIP_ARTICLES.isdisjoint(_names(value))
+        if inside:
+            return tag in INSIDE_BLOCKS and (value.strip().lower() in SKIP_INSIDE if key == "id" else _names_inside(value))
+        return not SKIP_NAMES.isdisjoint(_names(value)) and (tag in BLOCKS or not any(x[0] in PROSE for x in self.open))
+
     def _skipped(self, tag, attrs, inside) -> bool:
         if tag in SKIP_TAGS or tag == "header" and not inside:
             return True
         if tag in ("html", "body", "main"):
             return False
-        names = SKIP_ARTICLES if tag == "article" else SKIP_NAMES
         for key, value in attrs:
-            if key in ("class", "id") and value and not names.isdisjoint(_names(value)):
+            if key in ("class", "id") and value and self._named(tag, key, value, inside):
                 return True
             if key == "role" and value and value.lower() in SKIP_ROLES or key == "hidden" or key == "aria-hidden" and value == "true":
                 return True
