@@ -16,9 +16,10 @@ items of any length.
   ``OVERLAP`` of their word n-grams in the window.
 
 The index is built from statistics over all items and dealt into shards of at
-most ``SHARD_POSTINGS`` postings.  Only one shard's index is broadcast at a time,
-so what is broadcast is bounded whatever the benchmark's size.  Documents are never
-shuffled.
+most ``SHARD_POSTINGS`` postings, which bounds one broadcast, not their sum: every
+shard's index is built in the driver and stays broadcast until the one action over
+all shards has run, so the driver and each executor must hold the index of the
+whole benchmark.  Documents are never shuffled.
 
 Defined results: null or empty text or item = no words, no hit; null doc_id and null
 item_id are carried; repeated documents each get their rows; items with the
