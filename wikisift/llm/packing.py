@@ -98,7 +98,7 @@ def _encode(batches):
     for b in batches:
         ids, sizes, points, tails, blobs = b.column(0), [], [], [], []
         for doc, text in zip(ids.to_pylist(), b.column(1).to_pylist()):
-            got = np.append(enc.ids(text or ""), np.uint32(CLOSING_ID))
+            got = np.append(enc.file_ids(text or ""), np.uint32(CLOSING_ID))
             blob = got.astype(kind).tobytes()
             sizes.append(len(got))
             points.append(project(got))
