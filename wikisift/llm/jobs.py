@@ -1,4 +1,4 @@
-"""Registered jobs of this subpackage: one per operator, and the pipeline.
+"""Registered jobs of this subpackage: one per operator.
 
 Each job applies its operator, with production parameters, to its whole table
 and derives the contract's columns.  ``ORACLE`` holds DuckDB SQL where SQL can
@@ -133,3 +133,106 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sum(shown)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+
+@job
+def op11_merkle_manifest(spark, sf_dir):
+    from wikisift.llm.manifest import audit
+
+    return audit(read_table(spark, sf_dir, "documents"))
+
+
+def _sql_field(name: str) -> str:
+    text = f"CAST({name} AS VARCHAR)"
+    return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+
+def _sql_leaf(n_chars: str = "n_chars") -> str:
+    return "sha256(" + " || ".join(map(_sql_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# CRC-32 of a decimal number's characters: each is taken in, then eight shifts.
+_SQL_CRC = """list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+      lambda c: list_prepend(ord(c)::BIGINT, [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END)"""
+
+ORACLE["op11_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_sql_leaf()} AS leaf,
+         CASE WHEN xor({_SQL_CRC}, 4294967295::BIGINT) % 7 = 0 THEN {_sql_leaf("(CAST(n_chars AS HUGEINT) + 1)")} END AS tampered FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), nodes AS (
+  SELECT lang, n, 0 AS level, pos, leaf AS h FROM placed
+  UNION ALL
+  SELECT lang, n, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM nodes WHERE (1::BIGINT << level) < n GROUP BY lang, n, level, pos // 2
+), subroots AS (
+  SELECT lang, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE pos = 0 AND (1::BIGINT << level) >= n
+), tops AS (
+  SELECT n, 0 AS level, pos, subroot AS h FROM subroots
+  UNION ALL
+  SELECT n, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM tops WHERE (1::BIGINT << level) < n GROUP BY n, level, pos // 2
+), own AS (
+  SELECT p.doc_id, p.lang, p.leaf, p.pos, coalesce(tampered, leaf) AS start, s.subroot, s.pos AS sub_pos, t.h AS root
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang, (SELECT h FROM tops WHERE (1::BIGINT << level) >= n) t
+), siblings AS (
+  SELECT doc_id, o.lang, o.pos, 0 AS part, k.level, k.h, (o.pos >> k.level) & 1 AS left_of
+  FROM own o JOIN nodes k ON o.lang IS NOT DISTINCT FROM k.lang AND k.pos = xor(o.pos >> k.level, 1)
+  UNION ALL
+  SELECT doc_id, o.lang, o.pos, 1, k.level, k.h, (o.sub_pos >> k.level) & 1 FROM own o JOIN tops k ON k.pos = xor(o.sub_pos >> k.level, 1)
+), has AS (
+  -- a node whose run has no sibling is hashed alone
+  SELECT o.lang, o.pos, 0 AS part, g AS level FROM own o JOIN (SELECT DISTINCT lang, n FROM placed) z ON o.lang IS NOT DISTINCT FROM z.lang, range(62) r(g) WHERE (1::BIGINT << g) < z.n
+  UNION ALL
+  SELECT o.lang, o.pos, 1, g FROM own o, (SELECT DISTINCT n FROM subroots) z, range(62) r(g) WHERE (1::BIGINT << g) < z.n
+), steps AS (
+  SELECT h.lang, h.pos, row_number() OVER (PARTITION BY h.lang, h.pos ORDER BY h.part, h.level) AS step, s.h, s.left_of
+  FROM has h LEFT JOIN siblings s ON s.lang IS NOT DISTINCT FROM h.lang AND s.pos = h.pos AND s.part = h.part AND s.level = h.level
+), folded AS (
+  SELECT lang, pos, 0::BIGINT AS step, start AS h FROM own
+  UNION ALL
+  SELECT f.lang, f.pos, s.step, sha256(CASE WHEN s.h IS NULL THEN f.h WHEN s.left_of = 1 THEN s.h || f.h ELSE f.h || s.h END)
+  FROM folded f JOIN steps s ON s.lang IS NOT DISTINCT FROM f.lang AND s.pos = f.pos AND s.step = f.step + 1
+), proofs AS (
+  SELECT lang, pos, sha256(coalesce(string_agg(h, '' ORDER BY step) FILTER (WHERE h IS NOT NULL), '')) AS proof_sha256, max(step) AS steps FROM steps GROUP BY lang, pos
+)
+SELECT o.doc_id, o.leaf, o.subroot, o.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = o.root AS verified
+FROM own o LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM o.lang AND p.pos = o.pos
+JOIN folded f ON f.lang IS NOT DISTINCT FROM o.lang AND f.pos = o.pos AND f.step = coalesce(p.steps, 0)
+"""
+
+
+@job
+def op12_token_counts(spark, sf_dir):
+    from wikisift.llm.token_counts import token_counts
+
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
+@job
+def op13_ranked_search(spark, sf_dir):
+    from wikisift.llm.reversed_search import search
+
+    return search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_ranked_search"] = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS t FROM documents
+), item_terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark
+), totals AS (
+  SELECT count(*)::BIGINT AS big_n, sum(len(t))::BIGINT AS big_l FROM doc_terms WHERE len(t) > 0
+), counts AS (
+  SELECT uid, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT uid, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM doc_terms) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2) / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), scores AS (
+  SELECT item_id, uid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * big_n) // big_l))))::BIGINT AS score
+  FROM item_terms JOIN weights USING (term) JOIN counts USING (term), totals GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0
+) WHERE rank <= 10
+"""
