@@ -8,6 +8,9 @@ Spark's array / map / higher-order functions.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -138,6 +141,7 @@ def pf_ifeq(args) -> Column:
     )
 
 
+# Fixed value: the pattern of an error mark.
 IFERROR_RE = r'^<(?:strong|span|p|div)\s(?:[^\s>]*\s+)*?class="(?:[^"\s>]*\s+)*?error(?:\s[^">]*)?"'
 
 
@@ -217,25 +221,43 @@ def pf_invoke_if_empty(args) -> Column:
     return F.coalesce(F.try_element_at(F.filter(col_of(args), lambda x: x != ""), F.lit(1)), F.lit(""))
 
 
+Builder = Callable[[Column], Column]
+#: Parser functions by name and module functions by (module, function): what
+#: ``pf_dispatch`` and the expansion (T3) call.  Each takes the argument array.
+FUNCTIONS: dict[str, Builder] = {
+    "#if": pf_if, "#ifeq": pf_ifeq, "#iferror": pf_iferror, "#switch": pf_switch, "urlencode": pf_urlencode, "int": pf_int,
+    **{n: partial(pf_case, n) for n in ("lc", "uc", "lcfirst", "ucfirst")},
+}
+MODULES: dict[tuple[str, str], Builder] = {("convert", "convert"): pf_invoke_convert, ("If empty", "main"): pf_invoke_if_empty}
+
+
+def register_function(name: str, build: Builder) -> None:
+    """Make ``build`` (argument array -> text) the parser function ``name``."""
+    FUNCTIONS[name] = build
+
+
+def register_module(module: str, function: str, build: Builder) -> None:
+    """Make ``build`` (numbered parameters of the module's template -> text) what
+    ``{{#invoke:module|function}}`` gives."""
+    MODULES[(module, function)] = build
+
+
+def call_function(name: Column, args: Column) -> Column:
+    """The result of the registered function ``name``; an unknown one gives ''."""
+    out = F.lit("")
+    for known, build in FUNCTIONS.items():
+        out = F.when(name == known, build(args)).otherwise(out)
+    return out
+
+
 def pf_dispatch(name, args) -> Column:
-    """name -> parser function; unsupported and unknown names give ''."""
-    n = col_of(name)
-    a = col_of(args)
-    chain = (
-        F.when(n == "#if", pf_if(a))
-        .when(n == "#ifeq", pf_ifeq(a))
-        .when(n == "#iferror", pf_iferror(a))
-        .when(n == "#switch", pf_switch(a))
-        .when(n == "urlencode", pf_urlencode(a))
-        .when(n.isin("lc", "uc", "lcfirst", "ucfirst"),
-              F.when(n == "lc", pf_case("lc", a)).when(n == "uc", pf_case("uc", a))
-              .when(n == "lcfirst", pf_case("lcfirst", a)).otherwise(pf_case("ucfirst", a)))
-        .when(n == "int", pf_int(a))
-        .when(n == "#invoke:convert", pf_invoke_convert(a))
-        .when(n == "#invoke:If empty", pf_invoke_if_empty(a))
-        .otherwise(F.lit(""))
-    )
-    return chain
+    """name -> parser function; unsupported and unknown names give ''.  A
+    module's name is ``#invoke:module``."""
+    n, a = col_of(name), col_of(args)
+    out = call_function(n, a)
+    for (module, _), build in MODULES.items():
+        out = F.when(n == f"#invoke:{module}", build(a)).otherwise(out)
+    return out
 
 
 # ------------------------------------------------------------ magic words --
