@@ -93,16 +93,26 @@ def q_format_doc(spark, sf_dir):
     return p.select("id", TX.format_doc("id", "title", "text", BASE_URL).alias("doc"))
 
 
-@register(
-    "shard_by_bytes",
-    WP
-    + f"""SELECT page_num, CAST(floor((sum(octet_length(encode(doc))) OVER (ORDER BY page_num) - 1) / 1048576) AS BIGINT) AS file
-FROM (SELECT page_num, '<doc id="' || id || '" url="{BASE_URL}?curid=' || id || '" title="' || title || '">' || chr(10)
-  || title || chr(10) || chr(10) || CASE WHEN text = '' THEN '' ELSE text || chr(10) END || chr(10) || '</doc>' || chr(10) AS doc
-  FROM wikipages)""",
+SQL_DOC = f"""'<doc id="' || id || '" url="{BASE_URL}?curid=' || id || '" title="' || title || '">' || chr(10)
+  || title || chr(10) || chr(10) || CASE WHEN text = '' THEN '' ELSE text || chr(10) END || chr(10) || '</doc>' || chr(10)"""
+
+
+def sql_files(cap: int) -> str:
+    """(page_num, doc, file): a walk over the documents, one after the other."""
+    return (WP.replace("WITH ", "WITH RECURSIVE ", 1) + f""", d AS MATERIALIZED (
+  SELECT page_num, doc, octet_length(encode(doc)) AS b, row_number() OVER (ORDER BY page_num) AS rn FROM (SELECT page_num, {SQL_DOC} AS doc FROM wikipages)
+), walk AS (
+  SELECT rn, b AS held, CASE WHEN b > {cap} THEN 1 ELSE 0 END AS file FROM (SELECT rn, b FROM d WHERE rn = 1)
+  UNION ALL
+  SELECT d.rn, CASE WHEN held + d.b > {cap} THEN d.b ELSE held + d.b END, CASE WHEN held + d.b > {cap} THEN file + 1 ELSE file END
+  FROM walk JOIN d ON d.rn = walk.rn + 1
 )
+SELECT page_num, doc, CAST(file AS BIGINT) AS file FROM d JOIN walk USING (rn)""")
+
+
+@register("shard_by_bytes", f"SELECT page_num, file FROM ({sql_files(1048576)})")
 def q_shard_by_bytes(spark, sf_dir):
-    """Output file number from the running byte total (1 MiB files)."""
+    """The output file of each document (1 MiB files, closed greedily)."""
     p = wikipages(spark, sf_dir)
     docs = p.select("page_num", TX.format_doc("id", "title", "text", BASE_URL).alias("doc"))
     return TX.shard_by_bytes(docs).select("page_num", "file")
@@ -153,10 +163,7 @@ def q_template_store(spark, sf_dir):
     return D.read_template_store(spark, path)
 
 
-SQL_DOC = f"""'<doc id="' || id || '" url="{BASE_URL}?curid=' || id || '" title="' || title || '">' || chr(10)
-  || title || chr(10) || chr(10) || CASE WHEN text = '' THEN '' ELSE text || chr(10) END || chr(10) || '</doc>' || chr(10)"""
-SQL_FILES = WP + f"""SELECT doc, CAST(floor((sum(octet_length(encode(doc))) OVER (ORDER BY page_num) - 1) / 204800) AS BIGINT) AS file
-FROM (SELECT page_num, {SQL_DOC} AS doc FROM wikipages)"""
+SQL_FILES = sql_files(204800)
 
 
 def _text_tree(spark, sf_dir):
