@@ -214,13 +214,19 @@ class Counter:
     def count(self, texts: list[str]) -> list[int]:
         """The number of tokens of each text."""
         out: list[int] = []
-        for text in texts:
-            specials, chunks = self.chunks(text)
-            new = list({c for c in chunks if c and c not in self.known})
+        at = 0
+        while at < len(texts):
+            group, size = [], 0
+            while at < len(texts) and (not group or size < LAID):
+                group.append(self.chunks(texts[at]))
+                size += len(texts[at])
+                at += 1
+            # the words of many texts are merged together
+            new = {c for _, chunks in group for c in chunks if c not in self.known}
             if new:
-                self._learn(new)
+                self._learn(list(new))
             known = self.known
-            out.append(specials + sum(known[c] for c in chunks if c))
+            out += [specials + sum(map(known.__getitem__, chunks)) for specials, chunks in group]
             if self.held > REMEMBERED:
                 self.known, self.held = {}, 0
         return out
@@ -234,6 +240,8 @@ class Counter:
                 total[k] += n
 
         for k, c in enumerate(chunks):
+            if not c:
+                continue
             for w, _ in self.pre_tokenizer.pre_tokenize_str(c) if self.pre_tokenizer else [(c, None)]:
                 words.append(w)
                 of.append(k)
