@@ -269,3 +269,22 @@ def test_streaming_sentences_match_batch(spark, tmp_path):
     got = spark.read.parquet(out).count()
     want = corpus(spark.read.parquet(str(src))).count()
     assert got == want
+
+
+def test_lexicon_filter_only_passes_more_when_it_is_full(spark, monkeypatch):
+    """Every n-gram by brute force; a filter of few slots gives the same matches."""
+    import random
+
+    rnd = random.Random(2)
+    words = [f"w{k}" for k in range(60)]
+    surfaces = sorted({" ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 4))) for _ in range(150)})
+    lex = spark.createDataFrame([(x, f"c{k}") for k, x in enumerate(surfaces)], "surface string, concept_id string")
+    sents = [(k, 0, 0, [rnd.choice(words).upper() if rnd.random() < 0.2 else rnd.choice(words + ["x", "y"]) for _ in range(rnd.randrange(0, 15))]) for k in range(80)]
+    df = spark.createDataFrame(sents, "doc_id long, par_no int, sent_no int, tokens array<string>")
+    want = sorted((k, i, n, x) for k, _, _, t in sents for i in range(len(t)) for n in (1, 2, 3) if i + n <= len(t) and (x := " ".join(t[i : i + n]).lower()) in surfaces)
+    for most, block in ((1 << 21, 1 << 15), (64, 64)):
+        monkeypatch.setattr(EN, "MOST_SLOTS", most)
+        monkeypatch.setattr(EN, "_BITMAP", block)
+        got = sorted((r["doc_id"], r["start"], r["n"], r["surface"]) for r in EN.lexicon_matches(df, lex).collect())
+        assert got == want
+    assert EN.lexicon_from_items(spark.createDataFrame([("A b c",)], "text string")).count() == 6
