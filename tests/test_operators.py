@@ -98,7 +98,7 @@ FLAG_CASES = [
     ("* a\n#\n*** b\n## c\n; d", dict(lists=True), "- a\n-  b\n1. c\n- d"),
     ("== A ==\nx\n* i\ny\nz", dict(sections=True, lists=True), "A.\nx\n- i\ny\nz"),
     ("== A ==\nx\n* i\n** j\ny\nz", dict(html=True), "<h2>A</h2>\nx\n<ul>\n<li>i</li>\n<ul>\n<li>j</li>\ny\n</ul>\n</ul>\nz"),
-    ("; t\n* u\n# v", dict(html=True), "<dl>\n<dt>t</dt>\n<li>u</li>\n</ul>\n<ol>\n<li>v</<li>"),
+    ("; t\n* u\n# v", dict(html=True), "<dl>\n<dt>t</dt>\n<li>u</li>\n</ul>\n<ol>\n<li>v</li>"),
 ]
 
 

@@ -109,7 +109,7 @@ def annotate_lines(lines: DataFrame, key: str = "page_num") -> DataFrame:
 # HTML of list levels and items, as the output format has them.
 LIST_OPEN = {"*": "<ul>", "#": "<ol>", ";": "<dl>", ":": "<dl>"}
 LIST_CLOSE = {"*": "</ul>", "#": "</ol>", ";": "</dl>", ":": "</dl>"}
-LIST_ITEM = {"*": ("<li>", "</li>"), "#": ("<li>", "</<li>"), ";": ("<dt>", "</dt>"), ":": ("<dd>", "</dd>")}
+LIST_ITEM = {"*": ("<li>", "</li>"), "#": ("<li>", "</li>"), ";": ("<dt>", "</dt>"), ":": ("<dd>", "</dd>")}
 
 
 def list_marks(line) -> Column:

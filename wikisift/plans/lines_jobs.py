@@ -188,12 +188,13 @@ def q_list_items_text(spark, sf_dir):
     "list_items_html",
     f"""WITH {sql_wikipages()} SELECT page_num, pos, sub, line FROM (SELECT page_num, id FROM wikipages) AS w,
 (VALUES (0, 0, '<ul>'), (0, 1, '<li>one</li>'), (1, 0, '<ul>'), (1, 1, '<li>two</li>'), (2, 0, '</ul>'), (2, 1, '<ol>'), (2, 2, '</ul>'),
-  (2, 3, '<li>three</<li>'), (4, 0, 'after list'), (4, 1, '</ol>')) AS v(pos, sub, line) WHERE id % 8 = 6""",
+  (2, 3, '<li>three</li>')) AS v(pos, sub, line) WHERE id % 8 = 6""",
 )
 def q_list_items_html(spark, sf_dir):
-    """List lines, and the line that ends a list, in HTML mode."""
-    r = L.render_lines(_lines(spark, sf_dir), html=True)
-    return r.join(wikipages(spark, sf_dir).where("id % 8 = 6").select("page_num"), "page_num").where("pos <= 4")
+    """What every list line of every page gives in HTML mode: level tags and items."""
+    lines = _lines(spark, sf_dir)
+    lists = lines.where(L.line_kind("line") == "list").select("page_num", "pos")
+    return L.render_lines(lines, html=True).join(lists, ["page_num", "pos"], "left_semi")
 
 
 @register(
@@ -214,7 +215,7 @@ def _sql_all_html() -> str:
   SELECT page_num, pos, sub, line FROM (SELECT page_num, id FROM wikipages) AS w,
   (VALUES (5, 0, 0, '<h2>H1</h2>'), (5, 1, 0, '<h3>H2</h3>'), (5, 4, 0, '<h2>Empty</h2>'), (5, 5, 0, '<h2>Last</h2>'),
     (6, 0, 0, '<ul>'), (6, 0, 1, '<li>one</li>'), (6, 1, 0, '<ul>'), (6, 1, 1, '<li>two</li>'), (6, 2, 0, '</ul>'), (6, 2, 1, '<ol>'), (6, 2, 2, '</ul>'),
-    (6, 2, 3, '<li>three</<li>'), (6, 4, 1, '</ol>')) AS v(r, pos, sub, line)
+    (6, 2, 3, '<li>three</li>'), (6, 4, 1, '</ol>')) AS v(r, pos, sub, line)
   WHERE id % 8 = r
 )
 SELECT page_num, pos, 0 AS sub, line FROM kept UNION ALL SELECT * FROM extra"""
@@ -222,9 +223,7 @@ SELECT page_num, pos, 0 AS sub, line FROM kept UNION ALL SELECT * FROM extra"""
 
 @register("clean_lines_html", _sql_all_html())
 def q_clean_lines_html(spark, sf_dir):
-    """R6 in HTML mode (R4, R5): every rendered line of every page.
-
-    ``list_items_html`` is the part of it that its SQL was worked out for."""
+    """R6 in HTML mode (R4, R5): every rendered line of every page."""
     return L.render_lines(_lines(spark, sf_dir), html=True)
 
 
