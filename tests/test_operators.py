@@ -288,3 +288,45 @@ def test_lexicon_filter_only_passes_more_when_it_is_full(spark, monkeypatch):
         got = sorted((r["doc_id"], r["start"], r["n"], r["surface"]) for r in EN.lexicon_matches(df, lex).collect())
         assert got == want
     assert EN.lexicon_from_items(spark.createDataFrame([("A b c",)], "text string")).count() == 6
+
+
+def test_learned_abbreviations(spark):
+    """Planted words that are in no list: learned where they carry their point, used when splitting."""
+    import random
+
+    from wikisift.operators import corpus as C
+
+    rnd = random.Random(4)
+    prose = lambda n: " ".join(rnd.choice(["house", "river", "walked", "green", "seven", "stones"]) for _ in range(n))
+    rows = [(k, "\n".join(f"{prose(6).capitalize()} zvb. Qxr. {prose(5)}. The {prose(2)}. {prose(4)}" for _ in range(4)), "en") for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = C.learn_abbreviations(df)
+    assert {tuple(r) for r in learned.collect()} == {("english", "zvb"), ("english", "qxr")}
+    split = lambda **kw: [" ".join(r["tokens"]) for r in C.corpus(df.limit(1), **kw).orderBy("par_no", "sent_no").collect()]
+    with_, without = split(learned=learned), split()
+    assert len(without) == 4 * 5 and len(with_) == 4 * 3 and all(" zvb . Qxr . " in x for x in with_[::3])
+    assert [w for x in with_ for w in x.split()] == [w for x in without for w in x.split()]
+    none = C.abbreviation_scores(spark.createDataFrame([], df.schema))
+    assert none.count() == 0 and C.corpus(df.limit(1), learned=none.select("language", "type")).count() == len(without)
+
+
+def test_metrics_are_observed_in_the_writing_pass(spark, tmp_path):
+    from wikisift.operators import corpus as C
+    from wikisift.operators import pages as P
+
+    df = spark.createDataFrame([(1, "A b. C d.\n\nE.", "en"), (2, "", "en"), (3, "x", "de")], "doc_id long, text string, lang string")
+    assert C.write_corpus(df, str(tmp_path / "s")) == {"files": 3, "paragraphs": 3, "sentences": 4}
+    assert spark.read.parquet(str(tmp_path / "s")).count() == 4
+    stats = P.write_with_stats(df, str(tmp_path / "p"))
+    assert stats["articles"] == 3 and stats["rate"] == 3 / stats["seconds"]
+
+
+def test_stream_drops_copies_across_batches(spark, tmp_path):
+    from wikisift.streaming.corpus_stream import read_pages_stream, run_dedup_once
+
+    src = str(tmp_path / "src")
+    rows = [(2 * k + c, k, f"t{c}") for k in range(40) for c in range(1 + k % 3)]
+    df = spark.createDataFrame(rows, "page_num long, id long, title string")
+    df.orderBy("page_num").coalesce(1).repartition(1).write.option("maxRecordsPerFile", 7).parquet(src)
+    got = sorted((r["id"], r["page_num"]) for r in run_dedup_once(read_pages_stream(spark, src, df.schema, max_files=1)).collect())
+    assert [i for i, _ in got] == list(range(40))

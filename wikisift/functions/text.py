@@ -69,6 +69,17 @@ def sentence_split(c, language=None) -> Column:
     return F.transform(parts, lambda s: F.replace(s, F.lit(POINT), F.lit(".")))
 
 
+def guard_points(c, words: str, abbreviations: Column) -> Column:
+    """The last point of every match of ``words`` that, in lower case and without it, is
+    among ``abbreviations`` becomes ``POINT``, which ends no sentence."""
+    c = col_of(c)
+    guarded = F.transform(
+        F.regexp_extract_all(c, F.lit(words), F.lit(0)),
+        lambda w: F.when(F.endswith(w, F.lit(".")) & F.array_contains(abbreviations, F.regexp_replace(F.lower(w), r"\.$", "")), F.regexp_replace(w, r"\.$", POINT)).otherwise(w))
+    pieces = F.zip_with(F.split(c, words, -1), guarded, lambda p, w: F.concat(p, F.coalesce(w, F.lit(""))))
+    return F.when(F.size(abbreviations) > 0, F.array_join(pieces, "")).otherwise(c)
+
+
 def word_tokenize(c) -> Column:
     """Sentence -> word and punctuation tokens."""
     return F.regexp_extract_all(col_of(c), F.lit(TOKEN_RE), F.lit(0))

@@ -19,6 +19,7 @@ from wikisift.functions.text import (
     WHITE,
     case_fold,
     col_of,
+    guard_points,
     pystrip,
     sentence_split,
     split_lines,
@@ -65,15 +66,87 @@ def sentences(paragraphs: DataFrame, key: str = "doc_id", ignore_case: bool = Fa
     return s.select(key, "par_no", "sent_no", toks.alias("tokens"))
 
 
-def corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", ignore_case: bool = False, lang: str = "lang") -> DataFrame:
+#: Words as the learned rule counts them: letters, points inside, at most one behind.
+DOTTED = r"[\p{L}\p{M}]+(?:\.[\p{L}\p{M}]+)*\.?"
+#: Score from which a word is an abbreviation.
+LEARNED_SCORE = 0.3
+
+
+def abbreviation_scores(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+    """X1, learned: (language, type, with_point, without_point, score) of every lower-cased
+    word that ends in a point somewhere in the corpus.
+
+    The score is Kiss and Strunk's (2006): how much likelier the counts are if the point
+    belongs to the word (0.99) than if points fall by chance, times exp(-letters), times points, times
+    letters ** -without_point.  Words are counted by one hash aggregate over the documents,
+    combined in each task, so that frequent words are no hot key; a language's totals are a few rows.
+    """
+    language = tokenizer_language(lang) if lang in docs.columns else F.lit("english")
+    words = docs.select(language.alias("language"), F.explode(F.regexp_extract_all(F.lower(text), F.lit(DOTTED), F.lit(0))).alias("word"))
+    pointed = F.endswith("word", F.lit("."))
+    types = words.groupBy("language", F.regexp_replace("word", r"\.$", "").alias("type")).agg(
+        F.sum(pointed.cast("long")).alias("with_point"), F.sum((~pointed).cast("long")).alias("without_point"))
+    totals = types.groupBy("language").agg(F.sum("with_point").alias("points"), F.sum(F.col("with_point") + F.col("without_point")).alias("words"))
+    a, n = F.col("with_point").cast("double"), (F.col("with_point") + F.col("without_point")).cast("double")
+    chance = F.col("points") / F.col("words")
+    # where every word has its point the chance hypothesis has no other outcome
+    by_chance = a * F.log(chance) + F.when(n > a, (n - a) * F.log(1 - chance)).otherwise(0.0)
+    likelier = -2.0 * (by_chance - (a * F.log(F.lit(0.99)) + (n - a) * F.log(F.lit(1 - 0.99))))
+    inner = F.length("type") - F.length(F.replace("type", F.lit("."), F.lit("")))
+    letters = (F.length("type") - inner).cast("double")
+    score = likelier * F.exp(-letters) * (inner + 1) * F.pow(letters, -F.col("without_point").cast("double"))
+    return types.where("with_point > 0").join(totals, "language").select("language", "type", "with_point", "without_point", score.alias("score"))
+
+
+def learn_abbreviations(docs: DataFrame, text: str = "text", lang: str = "lang", least: float = LEARNED_SCORE) -> DataFrame:
+    """(language, type) of the words that the corpus shows to be abbreviations."""
+    return abbreviation_scores(docs, text, lang).where(F.col("score") >= least).select("language", "type")
+
+
+def _with_learned(docs: DataFrame, learned: DataFrame, key: str, text: str) -> DataFrame:
+    """``docs`` (with _language) and _learned: the abbreviations that occur in the text.
+
+    The documents' own pointed words are joined, not the other way round, so that the
+    learned table may be of any size; texts do not move but in the join back.
+    """
+    from wikisift.session import cut_lineage
+
+    rows = cut_lineage(docs).withColumn("_row", F.monotonically_increasing_id())
+    pointed = F.filter(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(DOTTED), F.lit(0))), lambda w: F.endswith(w, F.lit(".")))
+    words = rows.select("_row", F.col("_language").alias("language"), F.explode(F.transform(pointed, lambda w: F.regexp_replace(w, r"\.$", ""))).alias("type"))
+    own = words.join(learned, ["language", "type"], "left_semi").groupBy("_row").agg(F.collect_set("type").alias("_learned"))
+    return rows.join(own, "_row", "left").withColumn("_learned", F.coalesce("_learned", F.array().cast("array<string>"))).drop("_row")
+
+
+def corpus(docs: DataFrame, key: str = "doc_id", text: str = "text", ignore_case: bool = False, lang: str = "lang", learned: DataFrame | None = None) -> DataFrame:
     """Documents -> tokenised sentences, end to end.  A ``lang`` column, where
-    there is one, chooses the sentence rules."""
+    there is one, chooses the sentence rules; ``learned`` (:func:`learn_abbreviations`)
+    adds abbreviations to the fixed ones."""
+    if learned is not None:
+        routed = docs.withColumn("_language", tokenizer_language(lang) if lang in docs.columns else F.lit("english"))
+        known = _with_learned(routed, learned, key, text)
+        paragraphs = strip_blank_lines(known, key, text, ("_language", "_learned"))
+        guarded = paragraphs.withColumn("text", guard_points("text", DOTTED, F.col("_learned")))
+        return sentences(guarded, key, ignore_case, F.col("_language"))
     if lang not in docs.columns:
         return sentences(strip_blank_lines(docs, key, text), key, ignore_case)
     routed = docs.withColumn("_language", tokenizer_language(lang))
     return sentences(strip_blank_lines(routed, key, text, ("_language",)), key, ignore_case, F.col("_language"))
 
 
+def write_corpus(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", lang: str = "lang") -> dict:
+    """Write the tokenised sentences; files, paragraphs and sentences are counted by
+    observations of that one pass."""
+    from pyspark.sql import Observation
+
+    files, paragraphs, sents = Observation("files"), Observation("paragraphs"), Observation("sentences")
+    count = F.count(F.lit(1)).alias("n")
+    language = tokenizer_language(lang) if lang in docs.columns else F.lit("english")
+    p = strip_blank_lines(docs.observe(files, count).withColumn("_language", language), key, text, ("_language",)).observe(paragraphs, count)
+    sentences(p, key, language=F.col("_language")).observe(sents, count).write.parquet(path)
+    return {"files": files.get["n"], "paragraphs": paragraphs.get["n"], "sentences": sents.get["n"]}
+
+
 def sentence_lines(sents: DataFrame) -> DataFrame:
     """The sentence file's line: tokens joined by one space."""
     return sents.select(*[c for c in sents.columns if c != "tokens"], F.array_join("tokens", " ").alias("line"))

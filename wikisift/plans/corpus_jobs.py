@@ -86,6 +86,34 @@ def q_sentence_split(spark, sf_dir):
     return p.select("doc_id", "par_no", F.posexplode(sentence_split("text", "language")).alias("sent_no", "sentence"))
 
 
+SQL_ABBREVIATIONS = r"""
+words AS (SELECT CASE upper(lang) ROUTES ELSE 'english' END AS language, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}]+(?:\.[\p{L}\p{M}]+)*\.?')) AS word FROM documents),
+types AS (
+  SELECT language, rtrim(word, '.') AS type, count(*) FILTER (WHERE word LIKE '%.') AS a, count(*) FILTER (WHERE word NOT LIKE '%.') AS b FROM words GROUP BY ALL
+),
+totals AS (SELECT language, sum(a) / sum(a + b) AS p FROM types GROUP BY language),
+scores AS (
+  SELECT language, type, a AS with_point, b AS without_point,
+    -2.0 * (a * ln(p) + CASE WHEN b > 0 THEN b * ln(1 - p) ELSE 0 END - (a * ln(0.99::DOUBLE) + b * ln(1 - 0.99::DOUBLE)))
+    * exp(-(length(type) - (length(type) - length(replace(type, '.', ''))))) * (length(type) - length(replace(type, '.', '')) + 1)
+    * pow(length(replace(type, '.', ''))::DOUBLE, -b) AS score
+  FROM types JOIN totals USING (language) WHERE a > 0
+)""".replace("ROUTES", " ".join(f"WHEN '{code}' THEN '{name}'" for code, _, name in C.LANGUAGE_ROUTES))
+
+
+@register("abbreviation_scores", "WITH " + SQL_ABBREVIATIONS + " SELECT language, type, with_point, without_point, round(score, 6) + 0.0 AS score FROM scores")
+def q_abbreviation_scores(spark, sf_dir):
+    """The learned score of every word that ends in a point somewhere."""
+    scores = C.abbreviation_scores(docs(spark, sf_dir))
+    return scores.withColumn("score", F.round("score", 6) + 0.0)  # no minus zero
+
+
+@register("learn_abbreviations", "WITH " + SQL_ABBREVIATIONS + " SELECT language, type FROM scores WHERE score >= 0.3")
+def q_learn_abbreviations(spark, sf_dir):
+    """The words that the corpus shows to be abbreviations, by language."""
+    return C.learn_abbreviations(docs(spark, sf_dir))
+
+
 @register(
     "word_tokenize",
     "WITH "
@@ -196,3 +224,23 @@ def q_concat_corpora(spark, sf_dir):
     )
     c = C.sentence_lines(C.corpus(conv)).withColumn("corpus", F.lit("conversations"))
     return C.concat_corpora(d, c)
+
+
+# ------------------------------------------------------------ streaming --
+def _stream_of(spark, sf_dir):
+    """The documents as a directory of several files, which arrive file by file."""
+    path = scratch_path(spark, "arriving")
+    table(spark, sf_dir, "documents").repartition(6).write.parquet(path)
+    return path
+
+
+@register(
+    "stream_vocabulary",
+    "WITH " + SQL_SENTS + """
+SELECT word, count(*) AS count FROM (SELECT unnest(tokens) AS word FROM toks) GROUP BY word""",
+)
+def q_stream_vocabulary(spark, sf_dir):
+    """A1 as a stream: running counts kept in state over the batches of a file stream."""
+    from wikisift.streaming.corpus_stream import read_documents_stream, run_vocabulary_once
+
+    return run_vocabulary_once(read_documents_stream(spark, _stream_of(spark, sf_dir), max_files=2))

@@ -54,6 +54,23 @@ def q_dedup_consecutive_pages(spark, sf_dir):
     return P.dedup_pages(pages).select("page_num", "id")
 
 
+@register(
+    "stream_dedup_pages",
+    WPD
+    + """SELECT page_num, id FROM (
+  SELECT page_num, id, lag(id) OVER (ORDER BY page_num) AS prev_id FROM wikipages WHERE redirect IS NULL
+) WHERE prev_id IS NULL OR prev_id <> id""",
+)
+def q_stream_dedup_pages(spark, sf_dir):
+    """W1 as a stream: pages arrive file by file, a page that repeats the id before it goes."""
+    from wikisift.streaming.corpus_stream import read_pages_stream, run_dedup_once
+
+    path = scratch_path(spark, "arriving")
+    pages = P.filter_redirects(wikipages(spark, sf_dir, with_duplicates=True))
+    pages.repartitionByRange(6, "id").sortWithinPartitions("page_num").write.parquet(path)
+    return run_dedup_once(read_pages_stream(spark, path, pages.schema, max_files=2)).select("page_num", "id")
+
+
 @register(
     "page_sequence",
     WP + "SELECT page_num, id, row_number() OVER (ORDER BY page_num) - 1 AS seq FROM wikipages WHERE ns NOT IN (10, 828)",
@@ -75,9 +92,12 @@ def q_order_by_page(spark, sf_dir):
     WP + "SELECT count(*) AS articles FROM wikipages WHERE ns NOT IN (10, 828) AND redirect IS NULL",
 )
 def q_extraction_stats(spark, sf_dir):
-    """Pages extracted (the rate is the caller's clock over this count)."""
+    """The articles extracted, counted while they are written (the pages a second
+    are left out of the compared columns)."""
     arts = P.filter_redirects(P.filter_articles(wikipages(spark, sf_dir)))
-    return arts.agg(F.count(F.lit(1)).alias("articles"))
+    stats = P.write_with_stats(arts.select("page_num", "id", "title", "text"), scratch_path(spark, "extracted"))
+    assert stats["seconds"] > 0 and stats["rate"] >= 0
+    return spark.createDataFrame([(stats["articles"],)], "articles long")
 
 
 @register(
