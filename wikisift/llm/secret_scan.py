@@ -6,13 +6,16 @@ character classes, and a window of ``WINDOW`` characters slides over each while
 the counts of its characters are updated by one in and one out; the entropy
 follows from the running sum of  count x log2 count.  A candidate whose best
 window passes its class's threshold is a span, unless an allow-list rule
-(identifiers, digests named as such, addresses, alphabets, placeholders) or a
-base span around it accounts for it.
+(identifiers, digests named as such, alphabets, placeholders) or a
+base span around it accounts for it.  What stands further before a candidate, an address
+for instance, changes nothing: a key in a query string is as much a key.
 
 Spans are in code points, end exclusive.  All of it happens inside the row.
 
 Defined results: null text = empty (no spans; the digest of no text); null
-doc_id is kept; repeated rows each get a row; only doc_id and text are read.
+doc_id is kept; repeated rows each get a row; an empty table gives none; very long
+texts are scanned whole, in time that grows as the matches to the power 1.5 at most; spans
+that start together are ordered by kind, then end; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -33,22 +36,23 @@ WINDOW = 20
 CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{WINDOW},}}"
 #: Character classes in order: name, what the whole candidate must look like,
 #: bits of entropy that its best window must reach.  A window of 20 random
-#: characters has about 3.4 bits over hex, 3.9 over [a-z0-9] and 4.1 over base64.
+#: characters has about 3.0 bits over digits, 3.4 over hex, 3.7 over [a-z], 3.9 over
+#: [a-z0-9] and 4.1 over base64; no window of 20 has more than 4.32.
 CLASSES = [
-    ("digits", r"^[0-9]+$", 9.0),
+    ("digits", r"^[0-9]+$", 3.0),
     ("hex", r"^(?:[0-9a-f]+|[0-9A-F]+)$", 3.0),
-    ("alpha_one_case", r"^(?:[a-z]+|[A-Z]+|[A-Z][a-z]+)$", 9.0),
+    ("alpha_one_case", r"^(?:[a-z]+|[A-Z]+|[A-Z][a-z]+)$", 3.8),
     ("alpha", r"^[A-Za-z]+$", 4.1),
-    ("words", r"^[A-Za-z]*(?:[_/+=-]+[A-Za-z]*)+$", 9.0),
+    ("words", r"^[A-Za-z]*(?:[_/+=-]+[A-Za-z]*)+$", 4.1),
     ("alnum_one_case", r"^(?:[a-z0-9_=-]+|[A-Z0-9_=-]+)$", 3.6),
     ("base64", r"^.+$", 3.8),
 ]
 #: Candidates that are no secrets, and what stands before some of them.
 ALLOWED = (r"(?i)^[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|sample|dummy|placeholder|changeme|redacted|x{6,}|"
            r"0123456789|1234567890|abcdefghij|qwertyuiop|^(?:[a-z]+[/_-]){3,}[a-z0-9]*$")
-ALLOWED_BEFORE = r"(?i)(?:sha-?(?:1|224|256|384|512)[-:= ]|md5[-:= ]|commit |://[^\x20\x09-\x0D\"']*|integrity=[\"']?)$"
-#: Code points looked at before a candidate.
-CONTEXT = 64
+ALLOWED_BEFORE = r"(?i)(?:sha-?(?:1|224|256|384|512)[-:= ]|md5[-:= ]|commit |integrity=[\"']?)$"
+#: Code points of the longest of these names.
+CONTEXT = 11
 
 KINDS = ["assign", "access", "hex", "entropy"]
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
@@ -57,17 +61,33 @@ _SPANS = "array<struct<start:int,kind:int,end:int>>"
 def _found(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """Spans of the matches; ``keep`` (over the matched text) may refuse some."""
     found, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.filter(F.arrays_zip(pieces.alias("piece"), found.alias("match")), lambda p: p["match"].isNotNull())
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out"))
+    # pieces and matches alternate; a span starts where the characters before it end
+    lengths = F.zip_with(pieces, found, lambda p, m: F.struct(F.length(p).alias("gap"), F.coalesce(F.length(m), F.lit(0)).alias("own")))
+    starts = prefix_sums(F.transform(lengths, lambda x: x["gap"] + x["own"]))
+    spans = F.zip_with(F.zip_with(lengths, starts, lambda x, a: F.struct((a + x["gap"]).alias("start"), x["own"].alias("own"))), found,
+                       lambda x, m: F.struct(x["start"].alias("start"), F.lit(kind).alias("kind"), (x["start"] + x["own"]).alias("end"), m.alias("match")))
+    kept = F.filter(spans, lambda x: x["match"].isNotNull() & (keep(x["match"]) if keep is not None else F.lit(True)))
+    return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))).cast(_SPANS)
 
-    def step(s, p):
-        start = s["at"] + F.length(p["piece"])
-        end = start + F.length(p["match"])
-        span = F.array(F.struct(start.cast("int").alias("start"), F.lit(kind).alias("kind"), end.cast("int").alias("end")))
-        more = F.concat(s["out"], span)
-        return F.struct(end.cast("int").alias("at"), (more if keep is None else F.when(keep(p["match"]), more).otherwise(s["out"])).alias("out"))
 
-    return F.aggregate(pairs, state, step, lambda s: s["out"])
+def _fold_sums(values: Column) -> Column:
+    """Exclusive prefix sums by a fold, which copies what it has at each step."""
+    state = F.struct(F.lit(0).alias("sum"), F.array().cast("array<int>").alias("out"))
+    return F.aggregate(values, state, lambda s, v: F.struct((s["sum"] + v).cast("int").alias("sum"), F.concat(s["out"], F.array(s["sum"])).alias("out")), lambda s: s["out"])
+
+
+def prefix_sums(values: Column) -> Column:
+    """Exclusive prefix sums of an int array: folds over blocks of the square root of its
+    length and over the blocks' sums, so copies grow as length ** 1.5."""
+    n = F.size(values)
+    size = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(n / size).cast("int") - 1, F.lit(0))), lambda k: F.slice(values, k * size + 1, size))
+
+    def placed(held):
+        offsets = _fold_sums(F.transform(held, lambda b: F.aggregate(b, F.lit(0), lambda a, v: (a + v).cast("int"))))
+        return F.flatten(F.zip_with(held, offsets, lambda b, o: F.transform(_fold_sums(b), lambda v: v + o)))
+
+    return F.element_at(F.transform(F.array(blocks), placed), 1)
 
 
 def window_entropy(s: Column, window: int = WINDOW) -> Column:
@@ -77,16 +97,23 @@ def window_entropy(s: Column, window: int = WINDOW) -> Column:
     codes = F.transform(F.sequence(F.lit(1), F.length(s)), lambda i: F.ascii(F.substr(s, i, F.lit(1))) - first)
     weigh = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
     weight = lambda c: F.get(weigh, c)
-    state = F.struct(F.array_repeat(F.lit(0), 94).alias("counts"), F.lit(0.0).alias("sum"), F.lit(float(math.log2(window)) * window).alias("least"), codes.alias("codes"))
+    # 94 counts of up to a window, five bits each, twelve to a number: a step writes eight numbers
+    zero = F.array_repeat(F.lit(0).cast("long"), 8)
+    state = F.struct(zero.alias("counts"), F.lit(0.0).alias("sum"), F.lit(float(math.log2(window)) * window).alias("least"), codes.alias("codes"))
+    powers = F.array(*[F.lit(1 << 5 * k).cast("long") for k in range(12)])
+    one = lambda c: F.get(powers, (c % 12).cast("int"))
+
+    def count(st, c):
+        return F.call_function("shiftrightunsigned", F.get(st["counts"], (c / 12).cast("int")), (c % 12 * 5).cast("int")).bitwiseAND(31).cast("int")
 
     def step(st, i):
         new = F.get(st["codes"], i)
         old = F.when(i >= window, F.get(st["codes"], i - window)).otherwise(F.lit(-1))
-        had = F.when(old >= 0, F.get(st["counts"], old)).otherwise(F.lit(0))
+        had = F.when(old >= 0, count(st, old)).otherwise(F.lit(0))
         left = F.when(old >= 0, st["sum"] - weight(had) + weight(had - 1)).otherwise(st["sum"])
-        has = F.get(st["counts"], new) - F.when(old == new, 1).otherwise(0)
+        has = count(st, new) - F.when(old == new, 1).otherwise(0)
         total = left - weight(has) + weight(has + 1)
-        counts = F.transform(st["counts"], lambda c, k: c + F.when(k == new, 1).otherwise(0) - F.when(k == old, 1).otherwise(0))
+        counts = F.transform(st["counts"], lambda v, k: v + F.when(k == (new / 12).cast("int"), one(new)).otherwise(0) - F.when((old >= 0) & (k == (old / 12).cast("int")), one(old)).otherwise(0))
         return F.struct(counts.alias("counts"), total.alias("sum"), F.when(i >= window - 1, F.least(st["least"], total)).otherwise(st["least"]).alias("least"), st["codes"].alias("codes"))
 
     best = F.aggregate(F.sequence(F.lit(0), F.length(s) - 1), state, step, lambda st: F.lit(math.log2(window)) - st["least"] / window)
@@ -95,11 +122,10 @@ def window_entropy(s: Column, window: int = WINDOW) -> Column:
 
 def is_random(s: Column, text: Column | None = None) -> Column:
     """Whether a candidate's best window passes the threshold of its class."""
-    need = F.lit(9.0)
+    need = F.lit(math.log2(WINDOW))
     for _, pattern, bits in reversed(CLASSES):
         need = F.when(s.rlike(pattern), F.lit(bits)).otherwise(need)
-    # digits and one-case words need no window: their threshold is out of reach
-    return F.when(need > math.log2(WINDOW), F.lit(False)).when(s.rlike(ALLOWED), F.lit(False)).otherwise(window_entropy(s) >= need)
+    return F.when(s.rlike(ALLOWED), F.lit(False)).otherwise(window_entropy(s) >= need)
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
