@@ -2,10 +2,12 @@
 
 Every text gives a vector of transformed statistics.  Per language and source
 a minimum-covariance-determinant (MCD) estimate of location and scatter is
-computed over ALL rows by concentration steps ("C-steps"): from a start at the
-medians and MADs, each step keeps the ``h`` share of rows nearest in
-Mahalanobis distance and takes their mean and covariance.  Each step is two
-hash aggregates over the narrow statistics table (a percentile sketch and
+computed over ALL rows by concentration steps ("C-steps"): each step keeps the
+``h`` share of rows nearest in Mahalanobis distance and takes their mean and covariance.
+There are three starts (medians and MADs; means and covariances of all rows; the same of the rows
+within two MADs of the medians in every statistic).  After two steps each, a group goes on from the start of
+the smallest determinant until no group's determinant falls any more.  A step is two hash
+aggregates over the narrow statistics table (a percentile sketch and
 moment sums, both combined within tasks before they shuffle; a group's parameters
 come to its rows by a size-checked broadcast or a salted join, so a source with a
 third of all rows fills no task).  Rows beyond ``CUTOFF`` squared
@@ -14,7 +16,8 @@ Mahalanobis distance are rejected.
 Defined results: null text = no words (base rules fail, not kept); null lang or
 source = a value of its own; a group with under ``MIN_GROUP`` usable rows is
 pooled by language, then with all other small pools; constant statistics meet the
-variance floor; repeated rows each get a row.  Only doc_id, text, lang and
+variance floor; very long texts are read whole; equal distances share a verdict; repeated rows
+each get a row; an empty table gives none.  Only doc_id, text, lang and
 source are read, so other columns cannot clash.
 """
 
@@ -31,14 +34,15 @@ from wikisift.session import cut_lineage
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Share of a group's rows that the MCD estimate rests on, and its C-steps.
+#: Share of a group's rows that the MCD estimate rests on, C-steps of each start, and the
+#: relative fall of a determinant that is none.
 H_SHARE = 0.75
-C_STEPS = 4
+START_STEPS, STILL = 2, 1e-6
 #: Groups with fewer rows than this are pooled.
 MIN_GROUP = 100
 #: Squared robust distance beyond which a row is an outlier.  Chi-square with
-#: six degrees of freedom has its 1 - 1e-9 quantile at 53.
-CUTOFF = 53.0
+#: seven degrees of freedom has its 1 - 1e-12 quantile at 71.
+CUTOFF = 71.0
 
 _SYMBOLS = b"#*$%&|<>"
 _UPPER = bytes(range(65, 91))
@@ -49,13 +53,15 @@ _WHITE = WHITE.encode()
 #: Transformed statistics and, for each, the smallest standard deviation that
 #: the scatter estimate may take.  Most statistics are square roots of shares;
 #: the floor stops a group whose statistic never varies from rejecting a
-#: document for one symbol or one repeated line.
+#: document for one symbol or one repeated line.  Each can reject alone: a value
+#: CUTOFF ** 0.5 = 8.4 floors from the centre is in its range.
 FLOORS = {
     "f_wordlen": 0.08,
     "f_symbols": 0.03,
-    "f_duplines": 0.25,
-    "f_repeat": 0.2,
+    "f_duplines": 0.1,
+    "f_repeat": 0.08,
     "f_upper": 0.04,
+    "f_digits": 0.05,
     "f_marks": 0.05,
 }
 NAMES = list(FLOORS)
@@ -126,6 +132,7 @@ def features() -> dict[str, Column]:
         "f_duplines": share("n_dup_lines", "n_lines"),
         "f_repeat": share("n_repeat_words", "n_words"),
         "f_upper": share("n_upper", "word_chars"),
+        "f_digits": share("n_digits", "word_chars"),
         "f_marks": share("n_marks", "word_chars"),
     }
 
@@ -180,7 +187,7 @@ def _distance() -> Column:
 
 
 def _precision(frames):
-    """Rows of (grp, mu_i, c_i_j) -> (grp, mu_i, q_i_j); floors on variances."""
+    """Rows of (grp, start, mu_i, c_i_j) -> (grp, start, det, mu_i, q_i_j); floors on variances."""
     floor = np.square(np.array(list(FLOORS.values())))
     for pdf in frames:
         if len(pdf):
@@ -188,26 +195,40 @@ def _precision(frames):
             for i in range(P):
                 for j in range(i + 1):
                     cov[:, i, j] = cov[:, j, i] = pdf[f"c_{i}_{j}"].to_numpy(float)
-            inv = np.linalg.inv(cov + np.diag(floor))
+            cov += np.diag(floor)
+            inv = np.linalg.inv(cov)
+            pdf.insert(2, "det", np.linalg.slogdet(cov)[1])
             for i in range(P):
                 for j in range(i + 1):
                     pdf[f"c_{i}_{j}"] = inv[:, i, j]
+        else:
+            pdf.insert(2, "det", 0.0)
         yield pdf.rename(columns={c: "q" + c[1:] for c in pdf.columns if c.startswith("c_")})
 
 
-_PARAMS_TYPE = ", ".join(["grp string", *(f"mu_{i} double" for i in range(P)), *(f"q_{i}_{j} double" for i in range(P) for j in range(i + 1))])
+_MOMENTS = ["grp", "start", *(f"mu_{i}" for i in range(P)), *(f"c_{i}_{j}" for i in range(P) for j in range(i + 1))]
+#: ``det``: logarithm of the scatter's determinant.
+_PARAMS_TYPE = ", ".join(["grp string", "start int", "det double", *(f"mu_{i} double" for i in range(P)), *(f"q_{i}_{j} double" for i in range(P) for j in range(i + 1))])
+
+
+def _params(moments: DataFrame) -> DataFrame:
+    return cut_lineage(moments.select(*_MOMENTS).mapInPandas(_precision, _PARAMS_TYPE))
 
 
 def consistency(h: float, p: int = P) -> float:
     """Factor that makes the covariance of the nearest ``h`` share of a normal
-    sample estimate the whole one: h / P(chi2(p + 2) <= quantile_h(chi2(p))).
-
-    For an even p both distribution functions are finite Poisson sums.
-    """
-    from math import exp, factorial
+    sample estimate the whole one: h / P(chi2(p + 2) <= quantile_h(chi2(p)))."""
+    from math import exp, lgamma, log
 
     def cdf(x, k):
-        return 1 - exp(-x / 2) * sum((x / 2) ** i / factorial(i) for i in range(k // 2))
+        """Chi-square distribution function: the series of the incomplete gamma function."""
+        term = total = exp(k / 2 * log(x / 2) - x / 2 - lgamma(k / 2 + 1)) if x > 0 else 0.0
+        i = 1
+        while term > 1e-17 * total:
+            term *= x / 2 / (k / 2 + i)
+            total += term
+            i += 1
+        return total
 
     lo, hi = 0.0, 1000.0
     for _ in range(200):
@@ -241,6 +262,46 @@ def _paired(stats: DataFrame, pair_map: DataFrame, groups: int) -> DataFrame:
     return _with_group(keyed.withColumnRenamed("pair", "grp"), named, groups, "left").drop("grp").withColumnRenamed("of", "grp")
 
 
+def _moments(rows: DataFrame, centre: str, where: Column | None = None) -> list[Column]:
+    """Aggregates: mean (m_i) and second moments (s_i_j) of the differences from the
+    columns ``centre``_i, so that large means lose no digits."""
+    d = [F.col(n) - F.col(f"{centre}_{i}") for i, n in enumerate(NAMES)]
+    of = (lambda c: c) if where is None else (lambda c: F.when(where, c))
+    return ([F.first(f"{centre}_{i}").alias(f"old_{i}") for i in range(P)] + [F.avg(of(d[i])).alias(f"m_{i}") for i in range(P)]
+            + [F.avg(of(d[i] * d[j])).alias(f"s_{i}_{j}") for i in range(P) for j in range(i + 1)])
+
+
+def _moved(sums: DataFrame, factor: float) -> DataFrame:
+    """Centre and scatter from :func:`_moments`."""
+    return sums.select("grp", "start", *((F.col(f"old_{i}") + F.col(f"m_{i}")).alias(f"mu_{i}") for i in range(P)),
+                       *((factor * (F.col(f"s_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}"))).alias(f"c_{i}_{j}") for i in range(P) for j in range(i + 1)))
+
+
+def _starts(rows: DataFrame, groups: int) -> DataFrame:
+    """The parameters that the C-steps begin with: a row for each group and start."""
+    median = lambda c: F.percentile_approx(c, 0.5, 1000)
+    mid = cut_lineage(rows.groupBy("grp").agg(*(median(n).alias(f"mu_{i}") for i, n in enumerate(NAMES))))
+    mad = cut_lineage(_with_group(rows, mid, groups).groupBy("grp").agg(*(F.first(f"mu_{i}").alias(f"mu_{i}") for i in range(P)),
+                                                                        *(F.pow(1.4826 * median(F.abs(F.col(n) - F.col(f"mu_{i}"))), 2).alias(f"c_{i}_{i}") for i, n in enumerate(NAMES))))
+    apart = mad.withColumns({f"c_{i}_{j}": F.lit(0.0) for i in range(P) for j in range(i)}).withColumn("start", F.lit(0))
+    near = F.lit(True)
+    for (n, floor), i in zip(FLOORS.items(), range(P)):
+        near = near & (F.abs(F.col(n) - F.col(f"mu_{i}")) <= 2 * F.sqrt(F.col(f"c_{i}_{i}") + floor * floor))
+    held = _with_group(rows, mad, groups)
+    whole = _moved(held.groupBy("grp").agg(*_moments(held, "mu")).withColumn("start", F.lit(1)), 1.0)
+    inner = _moved(held.groupBy("grp").agg(*_moments(held, "mu", near)).withColumn("start", F.lit(2)), 1.0).where("mu_0 IS NOT NULL")
+    return _params(apart.select(*_MOMENTS).unionByName(whole).unionByName(inner))
+
+
+def _c_step(rows: DataFrame, params: DataFrame, groups: int, factor: float) -> DataFrame:
+    """The next parameters of every group and start."""
+    near = _with_group(rows, params, groups).withColumn("d2", _distance())
+    cut = near.groupBy("grp", "start").agg(F.percentile_approx("d2", H_SHARE, 1000).alias("cut"))
+    bounded = cut_lineage(params.join(cut, ["grp", "start"]))
+    kept = _with_group(rows, bounded, groups).withColumn("d2", _distance()).where("d2 <= cut")
+    return _params(_moved(kept.groupBy("grp", "start").agg(*_moments(kept, "mu")), factor))
+
+
 def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pair -> grp, grp -> location and precision) over all rows of ``stats``.
 
@@ -250,26 +311,20 @@ def fit(stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     pair_map = cut_lineage(_grouped(stats))
     groups = pair_map.count()
     rows = _paired(stats.where(~F.col("base_failed")), pair_map, groups).select("grp", *NAMES)
-    median = lambda c: F.percentile_approx(c, 0.5, 1000)
-    mid = cut_lineage(rows.groupBy("grp").agg(*(median(n).alias(f"mu_{i}") for i, n in enumerate(NAMES))))
-    mad = _with_group(rows, mid, groups).groupBy("grp").agg(*(F.first(f"mu_{i}").alias(f"mu_{i}") for i in range(P)),
-                                                            *(F.pow(1.4826 * median(F.abs(F.col(n) - F.col(f"mu_{i}"))), 2).alias(f"c_{i}_{i}") for i, n in enumerate(NAMES)))
-    start = mad.withColumns({f"c_{i}_{j}": F.lit(0.0) for i in range(P) for j in range(i)})
-    params = cut_lineage(start.mapInPandas(_precision, _PARAMS_TYPE))
     factor = consistency(H_SHARE)
-    for _ in range(C_STEPS):
-        near = _with_group(rows, params, groups).withColumn("d2", _distance())
-        cut = near.groupBy("grp").agg(F.percentile_approx("d2", H_SHARE, 1000).alias("cut"))
-        bounded = cut_lineage(params.join(cut, "grp"))
-        # moments about the previous centre, so that large means lose no digits
-        d = [F.col(n) - F.col(f"mu_{i}") for i, n in enumerate(NAMES)]
-        sums = (_with_group(rows, bounded, groups).withColumn("d2", _distance()).where("d2 <= cut").groupBy("grp")
-                .agg(F.count(F.lit(1)).alias("n"), *(F.first(f"mu_{i}").alias(f"old_{i}") for i in range(P)), *(F.avg(d[i]).alias(f"m_{i}") for i in range(P)),
-                     *(F.avg(d[i] * d[j]).alias(f"s_{i}_{j}") for i in range(P) for j in range(i + 1))))
-        moved = sums.select("grp", *((F.col(f"old_{i}") + F.col(f"m_{i}")).alias(f"mu_{i}") for i in range(P)),
-                            *((factor * (F.col(f"s_{i}_{j}") - F.col(f"m_{i}") * F.col(f"m_{j}"))).alias(f"c_{i}_{j}") for i in range(P) for j in range(i + 1)))
-        params = cut_lineage(moved.mapInPandas(_precision, _PARAMS_TYPE))
-    return pair_map, params
+    params = _starts(rows, groups)
+    for _ in range(START_STEPS):
+        params = _c_step(rows, params, groups, factor)
+    best = params.groupBy("grp").agg(F.min_by("start", F.struct("det", "start")).alias("start"))
+    params = cut_lineage(params.join(best, ["grp", "start"]).select(*params.columns))
+    while True:
+        moved = _c_step(rows, params, groups, factor)
+        # a group whose determinant does not fall keeps what it has
+        was = params.select("grp", F.col("det").alias("was"))
+        fell = cut_lineage(moved.join(was, "grp").where(F.col("det") < F.col("was") - STILL).drop("was"))
+        if fell.isEmpty():
+            return pair_map, params.drop("start", "det")
+        params = cut_lineage(params.join(fell.select("grp"), "grp", "left_anti").select(*fell.columns).unionByName(fell))
 
 
 def judged(stats: DataFrame, pair_map: DataFrame, params: DataFrame) -> DataFrame:
