@@ -16,20 +16,21 @@ items of any length.
   ``OVERLAP`` of their word n-grams in the window.
 
 The index is built from statistics over all items and dealt into shards of at
-most ``SHARD_POSTINGS`` postings, which bounds one broadcast, not their sum: every
-shard's index is built in the driver and stays broadcast until the one action over
-all shards has run, so the driver and each executor must hold the index of the
-whole benchmark.  Documents are never shuffled.
+most ``SHARD_POSTINGS`` postings.  A shard's hits are written and its broadcast is destroyed
+before the next one is built, so driver and executors hold one shard, whatever the benchmark's
+size.  Documents are never shuffled.
 
 Defined results: null or empty text or item = no words, no hit; null doc_id and null
-item_id are carried; repeated documents each get their rows; items with the
-same item_id count as one (the best hit stays); other columns are not read.
+item_id are carried; rows with one doc_id, and items with one item_id, count as one (the
+best hit of the pair stays, ties by overlap and first word); very long texts are read whole, in windows; empty
+tables give no hits; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wikisift.llm.common import bounded_batches
+from wikisift.llm.common import bounded_batches, scratch
 from wikisift.session import cut_lineage
 
 K1, B = 1.2, 0.75
 #: Share of an item's own score that makes a passage a candidate.
 THRESHOLD = 0.5
 #: Word n-grams of question and answer, and the share of each to be found.
-NGRAM, OVERLAP = 3, 0.3
+NGRAM, OVERLAP = 2, 0.35
 #: Words of the shortest length class, and the factor from class to class.
 CLASS_WORDS, CLASS_FACTOR = 64, 4
 SHARD_POSTINGS = 200_000
@@ -280,7 +281,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = spark.createDataFrame([], _HITS)
+    out = scratch(spark, "contamination")
+    spark.createDataFrame([], _HITS).write.parquet(out)
     for index in shards(benchmark):
         held = spark.sparkContext.broadcast(index)
 
@@ -291,22 +293,46 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "first_word"])
 
-        out = out.unionAll(rows.mapInArrow(find, _HITS))
-    return out
+        rows.mapInArrow(find, _HITS).write.mode("append").parquet(out)
+        held.destroy()
+    # an item's rows may lie in several shards
+    best = spark.read.schema(_HITS).parquet(out).groupBy("doc_id", "item_id").agg(F.max(F.struct("score", "question_overlap", "answer_overlap", "first_word")).alias("hit"))
+    return best.select("doc_id", "item_id", "hit.*")
+
+
+def _body() -> list:
+    """What tells texts apart in a join: two hashes and the length."""
+    text = F.col("text").cast("string")
+    return [F.xxhash64(text).alias("_h"), F.crc32(text.cast("binary")).alias("_c"), F.octet_length(text).alias("_n")]
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the rows that hold a benchmark item."""
+    """``docs`` without the rows that hold a benchmark item.
+
+    The only shard of a usual benchmark filters the rows as they lie.  Further shards each write
+    the few texts that they find, by hash, and these are anti-joined.
+    """
     spark = docs.sparkSession
     bounded_batches(spark)
-    for index in shards(benchmark):
-        docs = docs.where(~_holds(spark, index)(F.col("text").cast("string")))
-    return docs
-
+    found = None
+    indexes = shards(benchmark)
+    first, second = next(indexes, None), next(indexes, None)
+    if first is None:
+        return docs
+    if second is None:
+        return docs.where(~_holds(spark.sparkContext.broadcast(first))(F.col("text").cast("string")))
+    out = scratch(spark, "contaminated")
+    for index in chain([first, second], indexes):
+        held = spark.sparkContext.broadcast(index)
+        found = docs.where(_holds(held)(F.col("text").cast("string"))).select(*_body())
+        found.write.mode("append").parquet(out)
+        held.destroy()
+    dirty = spark.read.schema(found.schema).parquet(out).distinct()
+    row = F.struct(*(F.col(c) for c in docs.columns)).alias("row")
+    return docs.select(row, *_body()).join(dirty, ["_h", "_c", "_n"], "left_anti").select("row.*")
 
-def _holds(spark, index: Index):
-    held = spark.sparkContext.broadcast(index)
 
+def _holds(held):
     def holds(texts: pa.Array) -> pa.Array:
         return pa.array([bool(text_hits(held.value, x or b"", first_only=True)) for x in texts.cast(pa.binary()).to_pylist()], pa.bool_())
 
