@@ -72,9 +72,10 @@ CLOSE_MARK = "\ufdd3"
 SEP = "\ufdd4"
 LINKED = "\ufdd5"  # where a nested link stood
 
+# What an external link, its label and an image address look like.
 URL_CHAR = r"[^\]\[<>\"\x00-\x20\x7F\s]"
 ANCHOR_CHAR = r"[^\]\[\x00-\x08\x0a-\x1F]"
-_PROTO = "(?:" + "|".join(p.replace("/", "/") for p in URL_PROTOCOLS) + ")"
+_PROTO = "(?:" + "|".join(URL_PROTOCOLS) + ")"
 # Label: anchor characters, optionally holding [[...]] links.
 _LABEL = ANCHOR_CHAR + "*(?:\\[\\[" + ANCHOR_CHAR + "+\\]\\]" + ANCHOR_CHAR + "*)*"
 EXT_LINK_RE = "(?i)\\[(" + _PROTO + URL_CHAR + "+)\\s*(" + _LABEL + ")\\]"
@@ -165,7 +166,9 @@ def nested_fold(c: Column, open_re: str, close_re: str, on_close=None) -> Column
     return res
 
 
-FAST_ROUNDS = 4
+#: Rounds of plain regexes, and of the loop behind them; a row that nests deeper is folded.
+FAST_ROUNDS, LOOP_ROUNDS = 4, 200
+_PAIR = OPEN_MARK + "[^" + OPEN_MARK + CLOSE_MARK + "]*" + CLOSE_MARK
 
 
 def _drop_innermost_rounds(c: Column, open_re: str, close_re: str, rounds: int = FAST_ROUNDS) -> Column:
@@ -180,6 +183,30 @@ def _drop_innermost_rounds(c: Column, open_re: str, close_re: str, rounds: int =
     return m
 
 
+def _resolve_rounds(m: Column, on_close=None) -> Column:
+    """Marked text with its pairs resolved innermost first, in up to ``LOOP_ROUNDS`` rounds.
+
+    A round is one ``split`` and one ``regexp_extract_all`` over the text, so a row costs its
+    length times the depth it nests to, however many spans it has.
+    """
+    def inner(pair):
+        return F.regexp_extract(pair, "(?s)^" + OPEN_MARK + "[^" + SEP + "]*" + SEP + "(.*)" + SEP + "[^" + SEP + "]*" + CLOSE_MARK + "$", 1)
+
+    def one_round(st, _):
+        def resolve(pairs):
+            if on_close is None:
+                new = F.regexp_replace(st["text"], _PAIR, "")
+            else:
+                values = F.transform(pairs, lambda x: on_close(inner(x)))
+                new = F.array_join(F.zip_with(F.split(st["text"], _PAIR, -1), values, lambda p, v: F.concat(p, F.coalesce(v, F.lit("")))), "")
+            return F.struct(F.when(F.size(pairs) > 0, new).otherwise(st["text"]).alias("text"), (F.size(pairs) == 0).alias("done"))
+
+        return F.when(st["done"], st).otherwise(_bound(F.regexp_extract_all(st["text"], F.lit(_PAIR), F.lit(0)), resolve))
+
+    start = F.struct(m.alias("text"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(LOOP_ROUNDS)), start, one_round, lambda st: st["text"])
+
+
 def _pair_left(m: Column) -> Column:
     """A pair is left iff the first opener precedes the last closer."""
     first_open = F.instr(m, OPEN_MARK)
@@ -192,10 +219,14 @@ def _strip_marks(m: Column) -> Column:
 
 
 def drop_nested(c, open_re, close_re, probe=None) -> Column:
-    """Drop nested open/close spans: regex rounds, exact fold for deeper rows.
-    Patterns are strings or columns."""
+    """Drop nested open/close spans: regex rounds, a loop of them for deeper rows and
+    the exact fold beyond.  Patterns are strings or columns."""
     c = col_of(c)
-    exact = _bound(_drop_innermost_rounds(c, open_re, close_re), lambda m: F.when(_pair_left(m), nested_fold(c, open_re, close_re)).otherwise(_strip_marks(m)))
+
+    def deeper(m):
+        return _bound(_resolve_rounds(m), lambda r: F.when(_pair_left(r), nested_fold(c, open_re, close_re)).otherwise(_strip_marks(r)))
+
+    exact = _bound(_drop_innermost_rounds(c, open_re, close_re), lambda m: F.when(_pair_left(m), deeper(m)).otherwise(_strip_marks(m)))
     return _when_contains(c, probe if probe is not None else open_re, exact)
 
 
@@ -285,8 +316,10 @@ def internal_links(c, keep_links: bool = False, namespaces: list[str] | None = N
     Links are resolved innermost first; a link failing P5 becomes ''.
     """
     c = col_of(c)
-    folded = nested_fold(c, r"\[\[", r"\]\]", on_close=lambda top: _internal_link_text(F.substring(top, 3, 1 << 30), keep_links, namespaces))
-    return _when_contains(c, r"\[\[", F.replace(folded, F.lit(LINKED), F.lit("")))
+    shown = lambda inner: _internal_link_text(inner, keep_links, namespaces)
+    marked = _marked(c, r"\[\[", r"\]\]", (OPEN_MARK, SEP), (SEP, CLOSE_MARK))
+    resolved = _bound(_resolve_rounds(marked, shown), lambda r: F.when(_pair_left(r), nested_fold(c, r"\[\[", r"\]\]", on_close=lambda top: shown(F.substring(top, 3, 1 << 30)))).otherwise(_strip_marks(r)))
+    return _when_contains(c, r"\[\[", F.replace(resolved, F.lit(LINKED), F.lit("")))
 
 
 def external_links(c, keep_links: bool = False) -> Column:

@@ -256,7 +256,7 @@ def qualified_calls(spark, sf_dir):
 
 SQL_Q = r"""CASE WHEN starts_with(title, ':') THEN upper(substr(title, 2, 1)) || substr(title, 3)
   WHEN strpos(title, ':') > 0 AND upper(left(split_part(title, ':', 1), 1)) || substr(split_part(title, ':', 1), 2) IN ('Template', 'Category')
-  THEN upper(left(split_part(title, ':', 1), 1)) || substr(split_part(title, ':', 1), 2) || ':' || upper(substr(title, strpos(title, ':') + 1, 1)) || substr(title, strpos(title, ':') + 2)
+  THEN upper(left(split_part(title, ':', 1), 1)) || substr(split_part(title, ':', 1), 2) || substr(title, strpos(title, ':'))
   WHEN title <> '' THEN 'Template:' || upper(left(title, 1)) || substr(title, 2) ELSE '' END"""
 
 
