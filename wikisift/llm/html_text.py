@@ -60,6 +60,8 @@ INSIDE_BLOCKS = frozenset("div section aside ul".split())
 #: First words of class names that only say what else the page has; a layout
 #: also ends in "sidebar".
 LAYOUT = frozenset("with without has no".split())
+#: Last words of class names that begin with one of ``SKIP_NAMES`` and name a part of the page.
+PARTS = frozenset("area bar block bottom box button column container content element footer form group header holder inner item items left link links list main panel right row section slot top unit widget wrap wrapper zone".split())
 #: Elements whose inline parts are words of their text.
 PROSE = frozenset("p pre code h1 h2 h3 h4 h5 h6".split())
 SKIP_ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu form".split())
@@ -84,6 +86,19 @@ def _names_inside(value: str) -> bool:
     return False
 
 
+def _names_outside(value: str, container: bool) -> bool:
+    """Whether a class or id attribute outside an article says that it is not the
+    article: a name that is one of ``SKIP_NAMES``, on a container also one that ends in one
+    ("site-header") or puts one before a part of a page ("search-form", not "search-engines")."""
+    for name in value.split():
+        w = _names(name)
+        if not w or len(w) > 1 and not container:
+            continue
+        if len(w) == 1 and w[0] in SKIP_NAMES or len(w) > 1 and w[0] not in LAYOUT and (w[-1] in SKIP_NAMES or w[0] in SKIP_NAMES and w[-1] in PARTS):
+            return True
+    return False
+
+
 class Lines(HTMLParser):
     """Collects (text, tags, skipped, path) of the blocks of a page."""
 
@@ -108,7 +123,7 @@ class Lines(HTMLParser):
             return not SKIP_ARTICLES.isdisjoint(_names(value))
         if inside:
             return tag in INSIDE_BLOCKS and (value.strip().lower() in SKIP_INSIDE if key == "id" else _names_inside(value))
-        return not SKIP_NAMES.isdisjoint(_names(value)) and (tag in BLOCKS or not any(x[0] in PROSE for x in self.open))
+        return _names_outside(value, tag in CONTAINERS or tag in INSIDE_BLOCKS) and (tag in BLOCKS or not any(x[0] in PROSE for x in self.open))
 
     def _skipped(self, tag, attrs, inside) -> bool:
         if tag in SKIP_TAGS or tag == "header" and not inside:
@@ -220,8 +235,11 @@ def main_text(html: str) -> str:
             break
     if region is None:
         return "\n".join(t for t, _, _ in lines)
-    whole = parser.tags_of[region] in WHOLE
-    return "\n".join(t for (t, _, path), yes in zip(lines, content.tolist()) if region in path or yes and not whole)
+    whole = {n for n in path_of if parser.tags_of[n] in WHOLE}
+    if parser.tags_of[region] in WHOLE or sum(len(t) for (t, _, path), yes in zip(lines, content.tolist()) if yes and not whole.isdisjoint(path)) >= HOLDS * total:
+        # articles and main elements, however many: each is an article's text
+        return "\n".join(t for t, _, path in lines if not whole.isdisjoint(path))
+    return "\n".join(t for (t, _, path), yes in zip(lines, content.tolist()) if region in path or yes)
 
 
 @F.arrow_udf(T.StringType())
