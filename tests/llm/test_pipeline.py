@@ -12,7 +12,7 @@ from wikisift.llm import jobs
 
 def test_registry():
     assert sorted(JOB for JOB in jobs.JOBS) == sorted(f"op{n}_{x}" for n, x in enumerate(
-        "simhash_near_dedup benchmark_decontamination line_dedup license_scan packing secret_scan html_extraction quality_classifier chat_formatting quality_rules".split(), 1))
+        "simhash_near_dedup benchmark_decontamination line_dedup license_scan packing secret_scan html_extraction quality_classifier chat_formatting quality_rules merkle_manifest token_counts ranked_search".split(), 1))
     import __spark_entry__ as entry
 
     assert {*jobs.JOBS, "pipeline"} <= set(entry.queries()) and set(jobs.ORACLE) <= set(entry.oracle_sql())
