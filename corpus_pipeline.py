@@ -23,27 +23,42 @@ from wikisift.llm.simhash import keep_one
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the robust distance reject go."""
+    """Documents that the base rules or the robust distance reject go.
+
+    Null and empty texts go (no words); null lang or source is a group of its own; equal rows
+    share a verdict; very long texts are read whole; an empty table stays empty."""
     return keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document holds go; text and n_chars follow."""
+    """Lines that an earlier document holds go; text and n_chars follow.
+
+    No document goes: one without lines left has an empty text, as has a null text; a null
+    doc_id comes last; rows of one doc_id are one document; an empty table stays empty."""
     return drop_repeated_lines(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group within 3 fingerprint bits stays."""
+    """One document of each group within 3 fingerprint bits stays.
+
+    Null and empty texts have fingerprint zero and are one group; equal rows are one group; of a
+    tie the smallest doc_id stays, a null one last; an empty table stays empty."""
     return keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null and empty texts or items hold nothing; equal rows share a verdict; very long texts are
+    read whole; an empty table or benchmark changes nothing."""
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the packed sequences."""
+    """The pieces of the packed sequences.
+
+    Null and empty texts are the closing id alone; equal rows are packed each; very long texts
+    span sequences; an empty table gives no pieces."""
     return pack(docs)
 
 
