@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wikisift.operators import pages as P
 from wikisift.plans.catalog import register
 from wikisift.plans.fixtures import sql_wikipages, wikipages
-from wikisift.session import scratch_path
+from wikisift.session import arriving_files, scratch_path
 from wikisift.sources import dump as D
 from wikisift.sources import text as TX
 
@@ -67,8 +67,9 @@ def q_stream_dedup_pages(spark, sf_dir):
 
     path = scratch_path(spark, "arriving")
     pages = P.filter_redirects(wikipages(spark, sf_dir, with_duplicates=True))
-    pages.repartitionByRange(6, "id").sortWithinPartitions("page_num").write.parquet(path)
-    return run_dedup_once(read_pages_stream(spark, path, pages.schema, max_files=2)).select("page_num", "id")
+    files, each = arriving_files(pages)
+    pages.repartitionByRange(files, "id").sortWithinPartitions("page_num").write.parquet(path)
+    return run_dedup_once(read_pages_stream(spark, path, pages.schema, max_files=each)).select("page_num", "id")
 
 
 @register(

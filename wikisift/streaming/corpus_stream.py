@@ -89,9 +89,11 @@ def stream_dedup_pages(pages: DataFrame, reach: int = 100_000_000) -> DataFrame:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(frames)
+        frames = list(frames)
+        # most ids have one page: no frame is built for it again
+        rows = frames[0] if len(frames) == 1 else pd.concat(frames)
         if not state.exists:
-            yield rows.nsmallest(1, "page_num")[columns]
+            yield (rows if len(rows) == 1 else rows.nsmallest(1, "page_num"))[columns]
         seen = max(int(rows["page_num"].max()), state.get[0] if state.exists else 0)
         state.update((seen,))
         state.setTimeoutTimestamp(max((seen + reach) * 1000, state.getCurrentWatermarkMs() + 1))
