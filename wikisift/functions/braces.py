@@ -7,6 +7,9 @@ its place, so the next round finds those around it.  A round is one ``split`` an
 Three and three braces make an argument reference, else two and two a call;
 what is left over of a run pairs further out or is plain text.
 
+Text that no node can hold is cut off first (:func:`core`), so the rounds read the nodes'
+text only, not the page's.
+
 The placeholders and masks are noncharacters, which interchanged text does not hold.
 """
 
@@ -28,6 +31,8 @@ NOTE_OPEN, NOTE_CLOSE = "\ufdd8", "\ufdd9"
 HOLD_OPEN, HOLD_CLOSE, SCOPE_OPEN, SCOPE_CLOSE = "\ufdda", "\ufddb", "\ufddc", "\ufddd"
 # Between texts that are read as one.
 BETWEEN = "\ufde3"
+# The place of a stretch of text that stands outside all nodes.
+EDGE = "\ufde4"
 # Brackets and pipes of links while parts are cut.
 LINK_OPEN, LINK_CLOSE, LINK_PIPE, ONE_OPEN, ONE_CLOSE = "\ufdde", "\ufddf", "\ufde0", "\ufde1", "\ufde2"
 
@@ -67,6 +72,48 @@ def hide_single(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"(?<!\{)\{(?!\{)", SINGLE_OPEN), r"(?<!\})\}(?!\})", SINGLE_CLOSE)
 
 
+#: Runs of braces up to which a text is cut (a text with more is read whole).
+MOST_RUNS = 4096
+_RUN = r"([{}])\1+"
+
+
+def _cut(text: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of (pieces, runs, outside): the text between runs of two braces or more, the
+    runs, and which pieces stand outside all nodes.
+
+    ``open`` is the most nodes that may be open: a run opens at most half as many as it has braces,
+    and closes at least one, and at least a third as many as it has braces, of those that are open.
+    Nothing opens before the first piece or closes behind the last.
+    """
+    def walk(x):
+        def after(st, run):
+            opened = st["open"] + F.floor(F.length(run) / 2)
+            left = F.greatest(F.lit(0), st["open"] - F.greatest(F.lit(1), F.floor(F.length(run) / 3)))
+            return F.struct(F.when(F.startswith(run, F.lit("{")), opened).otherwise(left).cast("int").alias("open"), F.concat(st["outside"], F.array(st["open"] == 0)).alias("outside"))
+
+        start = F.struct(F.lit(0).alias("open"), F.array().cast("array<boolean>").alias("outside"))
+        walked = F.concat(F.aggregate(x["runs"], start, after)["outside"], F.array(F.lit(True)))
+        outside = F.when(F.size(x["runs"]) <= MOST_RUNS, walked).otherwise(F.transform(x["pieces"], lambda _: F.lit(False)))
+        return F.struct(x["pieces"].alias("pieces"), x["runs"].alias("runs"), outside.alias("outside"))
+
+    read = F.struct(F.split(text, _RUN, -1).alias("pieces"), F.regexp_extract_all(text, F.lit(_RUN), F.lit(0)).alias("runs"))
+    return let(let(read, walk), body)
+
+
+def core(text: Column) -> Column:
+    """The text with an ``EDGE`` for every stretch that stands outside all nodes."""
+    def joined(x):
+        held = F.zip_with(x["pieces"], x["outside"], lambda p, o: F.when(o, F.lit(EDGE)).otherwise(p))
+        return F.array_join(F.zip_with(held, x["runs"], lambda p, r: F.concat(p, F.coalesce(r, F.lit("")))), "")
+
+    return _cut(text, joined)
+
+
+def around(text: Column, inner: Column) -> Column:
+    """What became of ``core(text)``, with the stretches of ``text`` that it left out."""
+    return put(inner, EDGE, _cut(text, lambda x: F.filter(x["pieces"], lambda _, i: F.element_at(x["outside"], i + 1))))
+
+
 def hide_links(text: Column) -> Column:
     """Pipes inside links masked, innermost links first."""
     def one_round(t, _):
@@ -136,6 +183,11 @@ def in_rounds(text: Column, fields: dict[str, tuple[str, Callable]]) -> Column:
     return F.aggregate(up_to(F.regexp_count(text, F.lit(r"\{\{"))), empty, one_round)
 
 
+def read_once(text: Column, fields: dict[str, tuple[str, Callable]]) -> Column:
+    """:func:`in_rounds` of a text that takes work to make, made once."""
+    return let(text, lambda t: in_rounds(t, fields))
+
+
 def show(text: Column) -> Column:
     """All masks taken off."""
     plain = swap(text, (SINGLE_OPEN, "{"), (SINGLE_CLOSE, "}"), (DEAD_PIPE, "|"), (QUOTED_OPEN, "{"), (QUOTED_CLOSE, "}"), (QUOTED_PIPE, "|"), (LINK_PIPE, "|"), (SCOPE_OPEN, ""), (SCOPE_CLOSE, ""))
@@ -148,10 +200,10 @@ def calls_of(text) -> Column:
     ``at`` numbers the opening runs, ``round`` how far out a node lies, ``calls`` how
     many calls it holds, itself included.
     """
-    text = col_of(text)
-    run = r"\{\{+"
-    runs = F.regexp_extract_all(text, F.lit(run), F.lit(0))
-    noted = put(text, run, F.transform(runs, lambda r, i: F.concat(r, F.lit(NOTE_OPEN), i.cast("string"), F.lit(NOTE_CLOSE))))
+    def noted(t):
+        run = r"\{\{+"
+        runs = F.regexp_extract_all(t, F.lit(run), F.lit(0))
+        return put(t, run, F.transform(runs, lambda r, i: F.concat(r, F.lit(NOTE_OPEN), i.cast("string"), F.lit(NOTE_CLOSE))))
 
     def calls(x, st, _):
         inner = F.transform(F.regexp_extract_all(x, F.lit(_HOLD), F.lit(1)), lambda k: F.element_at(st["calls"], k.cast("int") + 1))
@@ -161,7 +213,7 @@ def calls_of(text) -> Column:
         own = F.transform(split_parts(F.regexp_replace(content_of(x), f"^{NOTE}", "")), lambda p: show(fill(p, st["raw"])))
         return F.when(braces_of(x) == 2, own)
 
-    read = in_rounds(noted, {
+    read = read_once(let(core(col_of(text)), noted), {
         "raw": ("string", lambda x, st, _: fill(x, st["raw"])),
         "at": ("int", lambda x, st, _: F.regexp_extract(x, r"^\{+" + NOTE, 1).cast("int")),
         "round": ("int", lambda x, st, k: k),
@@ -194,7 +246,7 @@ def _read_quoted(text: Column) -> Column:
         body = let(split_parts(content_of(x)), build)
         return swap(F.concat(F.repeat(F.lit("{"), side), body, F.repeat(F.lit("}"), side)), (LINK_PIPE, DEAD_PIPE))
 
-    return in_rounds(text, {"raw": ("string", lambda x, st, _: fill(x, st["raw"])), "ready": ("string", ready)})
+    return read_once(text, {"raw": ("string", lambda x, st, _: fill(x, st["raw"])), "ready": ("string", ready)})
 
 
 def quote_later_parts(text: Column) -> Column:

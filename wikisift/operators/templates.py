@@ -160,7 +160,7 @@ def expand_templates(pages: DataFrame, catalog: DataFrame, redirects: DataFrame
     def run(rows: DataFrame) -> DataFrame:
         """``rows`` (with _known) expanded; a row is passed over again while nodes are left."""
         no_bodies = F.create_map().cast(X.KNOWN)
-        opened = rows.withColumn("_known", F.coalesce("_known", no_bodies)).withColumn("_o", B.outermost(F.col("text")))
+        opened = rows.withColumn("_known", F.coalesce("_known", no_bodies)).withColumn("_o", B.outermost(B.core(F.col("text"))))
         cur = passed(opened.withColumn("_x", X.start(F.col("_o.nodes"))))
         out = cur.where("_x.done")
         while not (left := cur.where("NOT _x.done")).isEmpty():
@@ -169,7 +169,7 @@ def expand_templates(pages: DataFrame, catalog: DataFrame, redirects: DataFrame
         return out
 
     def finished(rows: DataFrame) -> DataFrame:
-        return rows.select(*[B.put_back(F.col("_o.frame"), F.col("_x.text")).alias("text") if c == "text" else F.col(c) for c in pages.columns],
+        return rows.select(*[B.around(F.col("text"), B.put_back(F.col("_o.frame"), F.col("_x.text"))).alias("text") if c == "text" else F.col(c) for c in pages.columns],
                            F.col("_x.overruns").alias("overruns"), F.col("_x.title_errors").alias("title_errors"))
 
     has = F.coalesce(F.instr("text", "{{") > 0, F.lit(False))
